@@ -9,6 +9,7 @@ _QUERIES = {
     "op3_warc_index_merge": ("warc", "OP3_SQL"),
     "op4_best_fit_packing": ("packing", None),
     "op9_bpe_transducer": ("bpe", None),
+    "op10_quality_rules": ("quality", None),
 }
 
 
