@@ -8,6 +8,7 @@ import importlib
 _QUERIES = {
     "op3_warc_index_merge": ("warc", "OP3_SQL"),
     "op4_best_fit_packing": ("packing", None),
+    "op6_license_diagonals": ("licenses", None),
     "op9_bpe_transducer": ("bpe", None),
     "op10_quality_rules": ("quality", None),
 }
