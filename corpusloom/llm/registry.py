@@ -6,6 +6,8 @@ import importlib
 
 #: query -> (module, SQL's name in it or None)
 _QUERIES = {
+    "op1_secret_ownership": ("secrets", None),
+    "op2_winnowing": ("fingerprints", None),
     "op3_warc_index_merge": ("warc", "OP3_SQL"),
     "op4_best_fit_packing": ("packing", None),
     "op6_license_diagonals": ("licenses", None),
