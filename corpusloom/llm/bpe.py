@@ -16,6 +16,7 @@ a table of bounded size, which starts anew when it is full.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -30,7 +31,7 @@ SPACE = r"[\t-\r\x20\x85\xa0  -     　]"
 
 
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000):
         self.ranks, self.max_states = ranks, max_states
         self.tokens = {i: t for t, i in ranks.items()}
         self.starts = {t[:n] for t in ranks for n in range(1, len(t))}  # proper beginnings of tokens
@@ -151,6 +152,11 @@ class Utf8Stream:
 
     def __init__(self, tokens: dict[int, bytes]):
         self.tokens, self.moves = tokens, {}
+        self.whole: dict[int, str] = {}  # from the state between characters and back to it
+        for i, token in tokens.items():
+            text, rest = self.advance(b"", token)
+            if not rest and "�" not in text:
+                self.whole[i] = text
 
     @staticmethod
     def advance(pending: bytes, data: bytes) -> tuple[str, bytes]:
@@ -175,6 +181,10 @@ class Utf8Stream:
             at += n
         return "".join(out), b""
 
+    def text(self, ids: list[int]) -> str:
+        parts = list(map(self.whole.get, ids))
+        return "".join(self.decode(ids) if None in parts else parts)
+
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """The text of each token as far as its characters are complete; what is left at the end comes last."""
         pending, moves = b"", self.moves
@@ -198,7 +208,7 @@ class Encoder:
     before their spaces and the ids of short frequent pieces are remembered.
     """
 
-    def __init__(self, path: str, memo: int = 50_000):
+    def __init__(self, path: str, memo: int = 200_000):
         import regex
 
         self.machine, self.memo, self.old, self.size = Transducer(ranks_of(path)), {}, {}, memo
@@ -211,25 +221,34 @@ class Encoder:
             out += self.machine.encode(piece.encode("utf-8"))
         return out
 
-    def encode(self, text: str) -> list[int]:
+    def packed(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
         if not text:
-            return []
+            return b""
         if self.joined(text):
-            return self.pieces(text)
+            return pack(self.pieces(text))
         first, *rest = text.split(" ")
-        out, memo = self.pieces(first), self.memo
-        for piece in rest:
-            ids = memo.get(piece)
-            if ids is None:
-                ids = self.old.get(piece)
-                if ids is None:
-                    ids = self.pieces(" " + piece)
-                if len(piece) < 24:
-                    memo[piece] = ids
-            out += ids
-        if len(memo) > self.size:  # what wasn't met for a whole generation is forgotten
-            self.old, self.memo = memo, {}
-        return out
+        got = list(map(self.memo.get, rest))
+        if None in got:
+            got = [self.fetch(piece) if ids is None else ids for piece, ids in zip(rest, got)]
+            if len(self.memo) > self.size:  # what wasn't met for a whole generation is forgotten
+                self.old, self.memo = self.memo, {}
+        return pack(self.pieces(first)) + b"".join(got)
+
+    def fetch(self, piece: str) -> bytes:
+        ids = self.memo.get(piece) or self.old.get(piece)
+        if ids is None:
+            ids = pack(self.pieces(" " + piece))
+        if len(piece) < 32:
+            self.memo[piece] = ids
+        return ids
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), "<u4").tolist()
+
+
+def pack(ids: list[int]) -> bytes:
+    return struct.pack("<%dI" % len(ids), *ids)
 
 
 @lru_cache(maxsize=2)
@@ -254,10 +273,10 @@ def round_trip(docs: DataFrame, ranks: str | None = None) -> DataFrame:
         for batch in batches:
             counts, ids_hex, text_hex = [], [], []
             for text in batch.column(1).to_pylist():
-                ids = encoder.encode(text)
-                counts.append(len(ids))
-                ids_hex.append(hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest())
-                text_hex.append(hashlib.sha256("".join(stream.decode(ids)).encode("utf-8")).hexdigest())
+                raw = encoder.packed(text)
+                counts.append(len(raw) // 4)
+                ids_hex.append(hashlib.sha256(raw).hexdigest())
+                text_hex.append(hashlib.sha256(stream.text(np.frombuffer(raw, "<u4").tolist()).encode("utf-8")).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     small_batches(docs.sparkSession)
