@@ -10,6 +10,7 @@ _QUERIES = {
     "op2_winnowing": ("fingerprints", None),
     "op3_warc_index_merge": ("warc", "OP3_SQL"),
     "op4_best_fit_packing": ("packing", None),
+    "op5_suffix_dedup": ("substrings", None),
     "op6_license_diagonals": ("licenses", None),
     "op9_bpe_transducer": ("bpe", None),
     "op10_quality_rules": ("quality", None),
