@@ -12,6 +12,7 @@ _QUERIES = {
     "op4_best_fit_packing": ("packing", None),
     "op5_suffix_dedup": ("substrings", None),
     "op6_license_diagonals": ("licenses", None),
+    "op7_order_minhash": ("near_dedup", None),
     "op9_bpe_transducer": ("bpe", None),
     "op10_quality_rules": ("quality", None),
 }
