@@ -13,6 +13,7 @@ _QUERIES = {
     "op5_suffix_dedup": ("substrings", None),
     "op6_license_diagonals": ("licenses", None),
     "op7_order_minhash": ("near_dedup", None),
+    "op8_host_suffix_array": ("html_text", None),
     "op9_bpe_transducer": ("bpe", None),
     "op10_quality_rules": ("quality", None),
 }
