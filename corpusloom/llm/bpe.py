@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from .common import small_batches, table, whole_texts
 from .tokenizer import public_path, ranks_of, split_pattern
 
-SPACE = r"[\t-\r\x20\x85\xa0  -     　]"
+SPACE = r"[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 class Transducer:
