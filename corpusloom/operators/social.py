@@ -14,9 +14,12 @@ from ..functions.tokenize import clean
 DELETED = ("[deleted]", "[removed]")
 
 
-@F.pandas_udf("string")
-def targeted_fixes(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else clean(t))
+def targeted_fixes(text: Column) -> Column:
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else clean(t))
+
+    return run(text)
 
 
 def good_comments(comments: DataFrame, least: int = 2) -> DataFrame:
