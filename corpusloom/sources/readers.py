@@ -143,8 +143,14 @@ def leeds(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def mokk(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Latin-2 list with the count in the first field and the term in the third."""
-    return _columns(spark, paths, 1, 3, encoding="ISO-8859-2")
+    """Latin-2 list with the term in the first field and the count in the third.
+
+    Spark reads Latin-1 but not Latin-2: both are one byte a character, so what
+    was read as the one is translated to the other.
+    """
+    high = bytes(range(0xA0, 0x100))
+    rows = _columns(spark, paths, 1, 3, encoding="ISO-8859-1")
+    return rows.withColumn("term", F.translate("term", high.decode("iso-8859-1"), high.decode("iso-8859-2")))
 
 
 SUBTLEX = {"de": (1, 3), "en": (1, 2), "nl": (1, 2), "pl": (1, 5), "zh": (1, 5)}
