@@ -9,7 +9,9 @@ group and with its neighbour in it, never all pairs. A candidate is verified on
 the whole words of both texts: the Jaccard likeness of their five-word
 shingles, or of the occurrence-labelled ones on a banded alignment (a chain of
 common shingles that rises in both texts within a band of diagonals), must be
-0.8 or more. Classes are the connected components of the verified links.
+0.8 or more. Classes are the connected components of the verified links. A
+group is sorted by its texts' next sketch, so that in a crowd that shares no
+more than one passage, texts that are alike beyond it stand side by side.
 
 At a likeness of 0.8 a sketch of two agrees with probability 0.64, and all of
 sixteen disagree with 8e-8.
@@ -148,9 +150,10 @@ def candidates(texts: DataFrame) -> DataFrame:
             made = {n: s for n, s in seen.items() if len(s)}
             if made:
                 node_col = pa.array([n for n in made for _ in range(SKETCHES)], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(np.tile(bands, len(made))), pa.array(np.concatenate(list(made.values())).view(np.int64)), node_col], names=["band", "sketch", "node"])
+                own, after = (np.concatenate([np.roll(s, -k) for s in made.values()]).view(np.int64) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.tile(bands, len(made))), pa.array(own), pa.array(after), node_col], names=["band", "sketch", "after", "node"])
 
-    one = texts.mapInArrow(run, "band int, sketch long, node binary").distinct()
+    one = texts.mapInArrow(run, "band int, sketch long, after long, node binary").distinct()
     groups = one.groupBy("band", "sketch").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
     shared = materialize(one.join(groups, ["band", "sketch"]), "sketches")
     star = shared.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
@@ -161,13 +164,14 @@ def candidates(texts: DataFrame) -> DataFrame:
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if last and last[:2] == row[:2]:
-                    out.append((last[2], row[2]))
+                    out.append((last[3], row[3]))
                 last = row
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)], names=["a", "b"])
 
     # neighbours in a group: a range sort may cut a group anywhere, so a hot one spans tasks
-    near = shared.select("band", "sketch", "node").repartitionByRange("band", "sketch", "node").sortWithinPartitions("band", "sketch", "node").mapInArrow(chain, "a binary, b binary")
+    order = ["band", "sketch", "after", "node"]
+    near = shared.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(chain, "a binary, b binary")
     return star.union(near).distinct()
 
 

@@ -363,7 +363,7 @@ def remove(docs: DataFrame) -> DataFrame:
         for batch in batches:
             cols = {n: batch.column(i) for i, n in enumerate(names)}
             texts = cols["text"].to_pylist()
-            kept = [t if not s else cut(t.encode("utf-8"), s)[2].decode("utf-8", "ignore") for t, s in zip(texts, batch.column(len(names)).to_pylist())]
+            kept = [t if not s or not t else cut(t.encode("utf-8"), s)[2].decode("utf-8", "ignore") for t, s in zip(texts, batch.column(len(names)).to_pylist())]
             changed = [k != t for k, t in zip(kept, texts)]
             cols["text"] = pa.array(kept, cols["text"].type)
             if "n_chars" in cols:
