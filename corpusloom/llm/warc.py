@@ -11,8 +11,8 @@ tree, which gives globally ordered capture histories.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -25,6 +25,8 @@ MIN_REVISIT_BYTES = 1000
 CRLF = "\r\n"
 #: Rows in an archive at most, so that a reader holds a bounded piece.
 ARCHIVE_ROWS = 2048
+#: Index rows in a key range at most, but for captures of one page at one time.
+RANGE_ROWS = 500_000
 CAPTURE = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url_key string, capture_s long, archive string, record_offset long"
 
 
@@ -109,7 +111,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1)):
                 out = []
-                for at, h, block in parse(zlib.decompressobj(31).decompress(content.as_buffer()) if len(content.as_buffer()) else b""):
+                for at, h, block in parse(gzip.decompress(content.as_buffer())):
                     size, digest, revisit = int(h["X-Payload-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:"), h["WARC-Type"] == "revisit"
                     if not revisit:
                         payload = block[block.index(b"\r\n\r\n") + 4 :]
@@ -165,7 +167,8 @@ def merge_index(captures: DataFrame) -> DataFrame:
     """Captures in the global order of (URL key, time, page), numbered from 0 in ``capture_no``.
 
     Key ranges are cut on all three columns, so that one URL with a third of
-    the captures spans many of them; each range holds only its own index rows.
+    the captures spans many of them; each range holds only its own index rows,
+    and the number of ranges follows that of the captures.
     """
     names = [x.split()[0] for x in CAPTURE.split(", ")]
     out = f"{CAPTURE}, pid int, pos long"
@@ -187,7 +190,8 @@ def merge_index(captures: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*merged), kinds)], names=[*names, "pid", "pos"])
 
     spark = captures.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    captures = materialize(captures, "index")  # the archives are read once, the ranges are cut on index rows
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-captures.count() // RANGE_ROWS))
     dealt = captures.repartitionByRange(ranges, "url_key", "capture_s", "page_id").sortWithinPartitions("archive", "record_offset")
     made = materialize(dealt.mapInArrow(run, out), "captures")
     starts = made.groupBy("pid").agg(F.count("*").alias("n"))  # a row for each range
