@@ -13,6 +13,8 @@ other and share an anchor are a run; its bytes are its neighbourhood.
    binary search on prefix polynomial hashes, so a comparison takes log(200)
    steps. Neighbours that agree on 200 bytes are compared byte by byte before
    they count, against collisions.
+3. An anchor with a crowd of neighbourhoods isn't compared in one task: its
+   windows are dealt by their own 128-bit digests and counted, map-side first.
 
 Texts are known by a 128-bit key: copies of a text are one text here, and all
 of a copied text of 200 bytes or more goes.
@@ -28,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import small_batches, table
+from .common import materialize, small_batches, table
 
 LENGTH, GRAM = 200, 32
 #: Window starts looked at in one go: places in it fit 20 bits, and memory stays bounded for any text.
@@ -37,7 +39,9 @@ BLOCK = 1 << 19
 SORT_BYTES = 1 << 21
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
-DUP, SHIP, ALL = 1, 2, 4
+#: Different neighbourhoods of one anchor in one range from which on they are a crowd.
+CROWD = 4096
+DUP, SHIP, HOT = 1, 2, 4
 
 
 @lru_cache(maxsize=1)
@@ -109,15 +113,18 @@ def anchors(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(find, "kh long, nh long, k1 long, k2 long, run long")
 
 
-def settle(found: DataFrame) -> DataFrame:
+def settle(found: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Verdicts on runs (k1, k2, run, kh, flag), from anchors sorted by (kh, nh, k1, k2, run).
 
     One pass that keeps a row: whatever the size of a group, memory is bounded.
+    The anchors are dealt by ranges of all five columns, so one that a third of
+    the texts hold spans many tasks. What stands at either end of a range may
+    go on in the next one; it is sent on, and the comparison of bytes settles it.
     """
     names = ["kh", "nh", "k1", "k2", "run"]
 
-    def verdicts(a: np.ndarray, before: np.ndarray | None, first_nh: int, ahead: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, int]:
-        """For distinct sorted rows between one row before and one ahead."""
+    def verdicts(a: np.ndarray, before: np.ndarray | None, first_nh: int, rank: int, ahead: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, int, int]:
+        """For distinct sorted rows between one row before and one ahead; ``rank`` counts the neighbourhoods of the anchor so far."""
         kh, nh = a[0], a[1]
         prev_kh = np.concatenate([[0 if before is None else before[0]], kh[:-1]]) == kh
         prev_nh = np.concatenate([[0 if before is None else before[1]], nh[:-1]]) == nh
@@ -131,14 +138,17 @@ def settle(found: DataFrame) -> DataFrame:
         start = np.maximum.accumulate(np.where(~prev_kh, np.arange(len(kh)), -1))
         firsts = np.where(start < 0, first_nh, nh[np.maximum(start, 0)])
         ship = ~same_ahead & ((nh != firsts) | next_kh)
-        return same_before | same_ahead, ship, int(firsts[-1])
+        met = np.cumsum(~same_before)
+        ranks = np.where(start < 0, rank + met, met - met[np.maximum(start, 0)] + 1)
+        return (same_before | same_ahead) * DUP, ship * SHIP + (ship & (ranks > crowd)) * HOT, int(firsts[-1]), int(ranks[-1])
 
     def stream(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: np.ndarray | None = None  # rows without a verdict: the last one's next isn't known
-        before, first_nh = None, 0
+        before, first_nh, rank = None, 0, 0
+        opening: tuple | None = None  # the first neighbourhood of the range
 
         def out(a: np.ndarray, dup: np.ndarray, ship: np.ndarray) -> pa.RecordBatch:
-            flag = dup * DUP + ship * SHIP
+            flag = dup | ship
             at = np.flatnonzero(flag)
             return pa.RecordBatch.from_arrays([pa.array(a[2][at]), pa.array(a[3][at]), pa.array(a[4][at]), pa.array(a[0][at]), pa.array(flag[at].astype(np.int32))], names=["k1", "k2", "run", "kh", "flag"])
 
@@ -149,18 +159,26 @@ def settle(found: DataFrame) -> DataFrame:
             if held is not None:
                 a = np.concatenate([held, a], axis=1)
             a = a[:, np.concatenate([[True], (a[:, 1:] != a[:, :-1]).any(axis=0)])]  # copies of a text
+            if opening is None:
+                opening = (a[0, 0], a[1, 0])
             if a.shape[1] > 1:
                 done, held = a[:, :-1], a[:, -1:]
-                dup, ship, first_nh = verdicts(done, before, first_nh, held[:, 0])
+                dup, ship, first_nh, rank = verdicts(done, before, first_nh, rank, held[:, 0])
+                ship |= edge(done, opening, held[:, 0]) * SHIP
                 before = done[:, -1]
                 yield out(done, dup, ship)
             else:
                 held = a
         if held is not None:
-            dup, ship, _ = verdicts(held, before, first_nh, None)
-            yield out(held, dup, ship)
+            dup, ship, _, _ = verdicts(held, before, first_nh, rank, None)
+            yield out(held, dup, ship | SHIP)
 
-    return found.repartition("kh").sortWithinPartitions(*names).mapInArrow(stream, "k1 long, k2 long, run long, kh long, flag int")
+    def edge(a: np.ndarray, opening: tuple, ahead: np.ndarray) -> np.ndarray:
+        """The last run of the range's first neighbourhood."""
+        first = (a[0] == opening[0]) & (a[1] == opening[1])
+        return first & ~np.append(first[1:], (ahead[0], ahead[1]) == opening)
+
+    return found.repartitionByRange(*names).sortWithinPartitions(*names).mapInArrow(stream, "k1 long, k2 long, run long, kh long, flag int")
 
 
 class Suffixes:
@@ -252,10 +270,33 @@ def compare(rows: list[tuple[int, int, int, int, bytes]]) -> list[tuple[int, int
     return [(rows[i][1], rows[i][2], (rows[i][3] >> 16) + a, (rows[i][3] >> 16) + z + LENGTH) for i, a, z in zip(row[edge].tolist(), k[edge].tolist(), k[last].tolist())]
 
 
-def spans(texts: DataFrame) -> DataFrame:
+def crowded(texts: DataFrame, runs_: DataFrame) -> DataFrame:
+    """(k1, k2, start, stop) of the repeated windows of crowded anchors' runs (k1, k2, run)."""
+    wanted = runs_.groupBy("k1", "k2").agg(F.collect_list("run").alias("runs"))
+
+    def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k1, k2, text, found in zip(*(c.to_pylist() for c in batch.columns)):
+                data = text.encode("utf-8")
+                starts = [w for r in found for w in range(r >> 16, (r >> 16) + (r >> 8 & 255) + 1)]
+                digests = [hashlib.blake2b(data[w : w + LENGTH], digest_size=16).digest() for w in starts]
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([k1] * len(starts)), pa.array([k2] * len(starts)), pa.array(starts)], names=["w", "k1", "k2", "start"])
+
+    each = texts.dropDuplicates(["k1", "k2"]).join(wanted, ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(windows, "w binary, k1 long, k2 long, start long")
+    each = materialize(each, "windows")
+    place = F.xxhash64("k1", "k2", "start")
+    again = each.groupBy("w").agg(F.min(place).alias("a"), F.max(place).alias("z")).filter("a <> z").select("w")
+    return each.join(again, "w").select("k1", "k2", "start", (F.col("start") + LENGTH).alias("stop"))
+
+
+def spans(texts: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(k1, k2, spans): the byte ranges to remove from each distinct text; overlaps aren't merged yet."""
-    found = settle(anchors(texts))
-    wanted = found.filter(F.col("flag").bitwiseAND(SHIP) != 0).groupBy("k1", "k2").agg(F.collect_list(F.struct("run", "kh")).alias("runs"))
+    found = materialize(settle(anchors(texts), crowd), "runs")
+    hot = found.filter(F.col("flag").bitwiseAND(HOT) != 0).select(F.col("kh").alias("hot")).distinct()
+    to_ship = found.filter(F.col("flag").bitwiseAND(SHIP) != 0)
+    crowds = hot.limit(1).count() > 0
+    few = to_ship.join(hot, F.col("kh") == F.col("hot"), "left_anti") if crowds else to_ship
+    wanted = few.groupBy("k1", "k2").agg(F.collect_list(F.struct("run", "kh")).alias("runs"))
 
     def ship(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -295,6 +336,8 @@ def spans(texts: DataFrame) -> DataFrame:
     start = F.shiftright("run", 16)
     settled = found.filter(F.col("flag").bitwiseAND(DUP) != 0).select("k1", "k2", start.alias("start"), (start + F.shiftright("run", 8).bitwiseAND(F.lit(255).cast("long")) + LENGTH).alias("stop"))
     copied = texts.groupBy("k1", "k2").agg(F.count("*").alias("n")).filter("n > 1").select("k1", "k2", F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("stop"))
+    if crowds:
+        compared = compared.unionByName(crowded(texts, to_ship.join(hot, F.col("kh") == F.col("hot"), "left_semi").select("k1", "k2", "run")))
     return settled.unionByName(compared).unionByName(copied).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
@@ -325,7 +368,7 @@ def with_keys(docs: DataFrame, *extra: str) -> DataFrame:
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def digest(docs: DataFrame) -> DataFrame:
+def digest(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """What goes from each document and the digest of what stays.
 
     Null and empty texts and texts under 200 bytes stay as they are; repeated
@@ -333,7 +376,7 @@ def digest(docs: DataFrame) -> DataFrame:
     ids give a row each and an empty table none.
     """
     small_batches(docs.sparkSession)
-    found = spans(with_keys(docs))
+    found = spans(with_keys(docs), crowd)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

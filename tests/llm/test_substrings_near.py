@@ -11,11 +11,11 @@ from . import brute
 from .conftest import texts_of
 
 
-def compare(docs):
+def compare(docs, **how):
     rows = texts_of(docs)
     data = [(t or "").encode("utf-8") for _, t in rows]
     want = Counter((d, *brute.removal(t, gone)) for (d, _), t, gone in zip(rows, data, brute.repeated_bytes(data)))
-    got = substrings.digest(docs).collect()
+    got = substrings.digest(docs, **how).collect()
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == want
 
 
@@ -37,7 +37,20 @@ def test_substrings_of_patchworks(spark, seed):
             parts.append(p[a : a + rng.choice([150, 199, 200, 201, 230, 260, 700])] + rng.choice(["", "#", str(i)]))
         rows.append((i, "".join(parts)))
     rows.append((60, "z" * 1000 + pool[0] + "yz" * 300))
-    compare(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    compare(docs)
+    compare(docs, crowd=1)
+
+
+def test_crowded_anchors(spark):
+    """A passage in the midst of texts that differ around it, with few and with many neighbourhoods to an anchor."""
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage = word(210)
+    rows = [(i, word(300) + passage[rng.randrange(8) :] + word(300)) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for crowd in (3, 4096):
+        compare(docs, crowd=crowd)
 
 
 def test_long_text(spark, monkeypatch):
