@@ -13,8 +13,9 @@ other and share an anchor are a run; its bytes are its neighbourhood.
    binary search on prefix polynomial hashes, so a comparison takes log(200)
    steps. Neighbours that agree on 200 bytes are compared byte by byte before
    they count, against collisions.
-3. An anchor with a crowd of neighbourhoods isn't compared in one task: its
-   windows are dealt by their own 128-bit digests and counted, map-side first.
+3. An anchor with a crowd of neighbourhoods isn't compared in one task: blocks
+   of its windows, then the windows of those blocks that aren't settled by it,
+   are dealt by their own digests and counted, map-side first.
 
 Texts are known by a 128-bit key: copies of a text are one text here, and all
 of a copied text of 200 bytes or more goes.
@@ -25,6 +26,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
+from struct import unpack
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,8 @@ U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 #: Different neighbourhoods of one anchor in one range from which on they are a crowd.
 CROWD = 4096
+#: Distances from the anchor in a block of a crowded anchor's windows.
+STEP = 8
 DUP, SHIP, HOT = 1, 2, 4
 
 
@@ -270,23 +275,65 @@ def compare(rows: list[tuple[int, int, int, int, bytes]]) -> list[tuple[int, int
     return [(rows[i][1], rows[i][2], (rows[i][3] >> 16) + a, (rows[i][3] >> 16) + z + LENGTH) for i, a, z in zip(row[edge].tolist(), k[edge].tolist(), k[last].tolist())]
 
 
-def crowded(texts: DataFrame, runs_: DataFrame) -> DataFrame:
-    """(k1, k2, start, stop) of the repeated windows of crowded anchors' runs (k1, k2, run)."""
-    wanted = runs_.groupBy("k1", "k2").agg(F.collect_list("run").alias("runs"))
+def place() -> Column:
+    return F.xxhash64("k1", "k2", "start")
 
-    def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k1, k2, text, found in zip(*(c.to_pylist() for c in batch.columns)):
-                data = text.encode("utf-8")
-                starts = [w for r in found for w in range(r >> 16, (r >> 16) + (r >> 8 & 255) + 1)]
-                digests = [hashlib.blake2b(data[w : w + LENGTH], digest_size=16).digest() for w in starts]
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([k1] * len(starts)), pa.array([k2] * len(starts)), pa.array(starts)], names=["w", "k1", "k2", "start"])
 
-    each = texts.dropDuplicates(["k1", "k2"]).join(wanted, ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(windows, "w binary, k1 long, k2 long, start long")
-    each = materialize(each, "windows")
-    place = F.xxhash64("k1", "k2", "start")
-    again = each.groupBy("w").agg(F.min(place).alias("a"), F.max(place).alias("z")).filter("a <> z").select("w")
-    return each.join(again, "w").select("k1", "k2", "start", (F.col("start") + LENGTH).alias("stop"))
+def again(df: DataFrame, *by: str) -> DataFrame:
+    """The keys that two places or more have, and one of these, as a table: a join with it can be split where a key is hot."""
+    return materialize(df.groupBy(*by).agg(F.min(place()).alias("one"), F.max(place()).alias("z")).filter("one <> z").drop("z"), "again")
+
+
+def crowded(runs_: DataFrame) -> DataFrame:
+    """(k1, k2, start, stop) of the repeated windows of crowded anchors' runs (k1, k2, run, bytes).
+
+    The windows of a run go by blocks of STEP distances from the anchor. A
+    block whose whole extent occurs again is repeated; one whose core, the bytes
+    that all its windows have, doesn't occur again is not. What is between the
+    two, the blocks at the ends of a shared passage, is counted by windows,
+    with one block of each extent that occurs again.
+    """
+
+    def batched(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+        while some := list(islice(rows, 20_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*some)], names=names)
+
+    def digest_of(data: bytes) -> tuple[int, int]:
+        return unpack("<qq", hashlib.blake2b(data, digest_size=16).digest())
+
+    def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for k1, k2, run, data in zip(*(c.to_pylist() for c in batch.columns)):
+                    first, anchor, end, w = run >> 16, run & 255, (run >> 8 & 255) + 1, 0
+                    while w < end:
+                        last = anchor - (anchor - w) // STEP * STEP  # where the aligned block's last window begins
+                        stop = min(end, last + 1)
+                        yield digest_of(data[last : last - STEP + 1 + LENGTH])[0], *digest_of(data[w : stop - 1 + LENGTH]), k1, k2, run, first + w, stop - w
+                        w = stop
+
+        return batched(rows(), ["core", "w1", "w2", "k1", "k2", "run", "start", "n"])
+
+    def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for k1, k2, run, data, open_ in zip(*(c.to_pylist() for c in batch.columns)):
+                    for w in (w for b in open_ for w in range(b["start"], b["start"] + b["n"])):
+                        at = w - (run >> 16)
+                        yield *digest_of(data[at : at + LENGTH]), k1, k2, w
+
+        return batched(rows(), ["w1", "w2", "k1", "k2", "start"])
+
+    runs_ = runs_.select("k1", "k2", "run", "bytes")
+    made = runs_.mapInArrow(blocks, "core long, w1 long, w2 long, k1 long, k2 long, run long, start long, n long")
+    made = materialize(made, "blocks")
+    near = made.join(again(made, "core").drop("one"), "core").join(again(made, "w1", "w2"), ["w1", "w2"], "left")
+    settled = near.filter("one IS NOT NULL").select("k1", "k2", "start", (F.col("start") + F.col("n") - 1 + LENGTH).alias("stop"))
+    wanted = near.filter(F.col("one").isNull() | (F.col("one") == place())).groupBy("k1", "k2", "run").agg(F.collect_set(F.struct("start", "n")).alias("blocks"))
+    single = runs_.join(wanted, ["k1", "k2", "run"]).mapInArrow(windows, "w1 long, w2 long, k1 long, k2 long, start long")
+    single = materialize(single, "windows")
+    found = single.join(again(single, "w1", "w2").drop("one"), ["w1", "w2"])
+    return settled.unionByName(found.select("k1", "k2", "start", (F.col("start") + LENGTH).alias("stop")))
 
 
 def spans(texts: DataFrame, crowd: int = CROWD) -> DataFrame:
@@ -295,8 +342,8 @@ def spans(texts: DataFrame, crowd: int = CROWD) -> DataFrame:
     hot = found.filter(F.col("flag").bitwiseAND(HOT) != 0).select(F.col("kh").alias("hot")).distinct()
     to_ship = found.filter(F.col("flag").bitwiseAND(SHIP) != 0)
     crowds = hot.limit(1).count() > 0
-    few = to_ship.join(hot, F.col("kh") == F.col("hot"), "left_anti") if crowds else to_ship
-    wanted = few.groupBy("k1", "k2").agg(F.collect_list(F.struct("run", "kh")).alias("runs"))
+    to_ship = to_ship.join(hot, F.col("kh") == F.col("hot"), "left").withColumn("crowd", F.col("hot").isNotNull()) if crowds else to_ship.withColumn("crowd", F.lit(False))
+    wanted = to_ship.groupBy("k1", "k2").agg(F.collect_list(F.struct("run", "kh", "crowd")).alias("runs"))
 
     def ship(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -305,10 +352,10 @@ def spans(texts: DataFrame, crowd: int = CROWD) -> DataFrame:
             for k1, k2, text, runs_ in zip(*(c.to_pylist() for c in batch.columns)):
                 if (k1, k2) != last:
                     data = text.encode("utf-8")
-                    out += [(r["kh"], k1, k2, r["run"], data[r["run"] >> 16 : (r["run"] >> 16) + (r["run"] >> 8 & 255) + LENGTH]) for r in runs_]
+                    out += [(r["kh"], k1, k2, r["run"], data[r["run"] >> 16 : (r["run"] >> 16) + (r["run"] >> 8 & 255) + LENGTH], r["crowd"]) for r in runs_]
                 last = (k1, k2)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [*[pa.int64()] * 4, pa.binary()])], names=["kh", "k1", "k2", "run", "bytes"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [*[pa.int64()] * 4, pa.binary(), pa.bool_()])], names=["kh", "k1", "k2", "run", "bytes", "crowd"])
 
     def sort(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -331,13 +378,14 @@ def spans(texts: DataFrame, crowd: int = CROWD) -> DataFrame:
         if (b := flush(rows)) is not None:
             yield b
 
-    shipped = texts.join(wanted, ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(ship, "kh long, k1 long, k2 long, run long, bytes binary")
-    compared = shipped.repartition("kh").sortWithinPartitions("kh", "k1", "k2", "run").mapInArrow(sort, "k1 long, k2 long, start long, stop long")
+    shipped = texts.join(wanted, ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(ship, "kh long, k1 long, k2 long, run long, bytes binary, crowd boolean")
+    shipped = materialize(shipped, "shipped")  # the texts are shuffled for it once, whatever reads it
+    compared = shipped.filter("NOT crowd").drop("crowd").repartition("kh").sortWithinPartitions("kh", "k1", "k2", "run").mapInArrow(sort, "k1 long, k2 long, start long, stop long")
     start = F.shiftright("run", 16)
     settled = found.filter(F.col("flag").bitwiseAND(DUP) != 0).select("k1", "k2", start.alias("start"), (start + F.shiftright("run", 8).bitwiseAND(F.lit(255).cast("long")) + LENGTH).alias("stop"))
     copied = texts.groupBy("k1", "k2").agg(F.count("*").alias("n")).filter("n > 1").select("k1", "k2", F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("stop"))
     if crowds:
-        compared = compared.unionByName(crowded(texts, to_ship.join(hot, F.col("kh") == F.col("hot"), "left_semi").select("k1", "k2", "run")))
+        compared = compared.unionByName(crowded(shipped.filter("crowd")))
     return settled.unionByName(compared).unionByName(copied).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
