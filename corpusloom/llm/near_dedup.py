@@ -5,7 +5,9 @@ labelled with its occurrence number, each of several sketches takes the two
 labelled k-mers with the least seeded hashes and keeps them in the order of
 the text, so equal sketches speak for few edits and not just for common
 k-mers. Texts that share a sketch are candidates: each with the least of its
-group and with its neighbour in it, never all pairs. A candidate is verified on
+group and with its neighbour in it first. Where that leaves the texts of a group
+in more than one class, all its pairs are verified, in blocks of a bounded size.
+A candidate is verified on
 the whole words of both texts: the Jaccard likeness of their five-word
 shingles, or of the occurrence-labelled ones on a banded alignment (a chain of
 common shingles that rises in both texts within a band of diagonals), must be
@@ -31,6 +33,10 @@ from .common import materialize, small_batches, table
 from .components import components
 
 K, SIMILAR, SKETCHES, MINIMA = 5, 0.8, 16, 2
+#: Texts and shingles of a block of an open group, about.
+BLOCK_TEXTS, BLOCK_SHINGLES = 256, 200_000
+#: Bands whose open groups are settled together; what the first ones link is no longer open in the next.
+ROUNDS = ((0, 2), (2, SKETCHES))
 U = np.uint64
 _WORD = re.compile(r"\w+").findall
 _SEEDS = np.random.default_rng(20240607).integers(1, 1 << 63, SKETCHES, dtype=np.int64).astype(U)
@@ -137,25 +143,32 @@ def nodes(docs: DataFrame) -> DataFrame:
     return docs.select(F.unhex(F.md5(text)).alias("node"), text.alias("text"))
 
 
-def candidates(texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different texts that share a sketch and are to be verified."""
+def grouped(texts: DataFrame) -> DataFrame:
+    """(band, sketch, after, node, size) of the texts that share a sketch with another one; size counts shingles."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bands = Words(), np.arange(SKETCHES, dtype=np.int32)
         for batch in batches:
             seen: dict[bytes, np.ndarray] = {}
+            sizes: dict[bytes, int] = {}
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if node not in seen:
                     seen[node] = sketches(k) if len(k := known.kmers(text)) else k
+                    sizes[node] = len(k)
             made = {n: s for n, s in seen.items() if len(s)}
             if made:
                 node_col = pa.array([n for n in made for _ in range(SKETCHES)], pa.binary())
                 own, after = (np.concatenate([np.roll(s, -k) for s in made.values()]).view(np.int64) for k in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(np.tile(bands, len(made))), pa.array(own), pa.array(after), node_col], names=["band", "sketch", "after", "node"])
+                size_col = pa.array(np.repeat(np.array([sizes[n] for n in made], np.int32), SKETCHES))
+                yield pa.RecordBatch.from_arrays([pa.array(np.tile(bands, len(made))), pa.array(own), pa.array(after), node_col, size_col], names=["band", "sketch", "after", "node", "size"])
 
-    one = texts.mapInArrow(run, "band int, sketch long, after long, node binary").distinct()
+    one = texts.mapInArrow(run, "band int, sketch long, after long, node binary, size int").distinct()
     groups = one.groupBy("band", "sketch").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    shared = materialize(one.join(groups, ["band", "sketch"]), "sketches")
+    return materialize(one.join(groups, ["band", "sketch"]), "sketches")
+
+
+def candidates(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different texts that share a sketch: each text with the least of its group and with its neighbour."""
     star = shared.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
 
     def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,11 +212,139 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "u binary, v binary")
 
 
+def opened(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """(band, sketch, node, size, label, n, shingles) of the groups whose texts are in more than one class; of groups of the same texts, one."""
+    named = shared.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    same = [F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
+    sizes = [F.count("*").alias("n"), F.sum("size").alias("shingles"), F.min("label").alias("lo"), F.max("label").alias("hi")]
+    groups = named.groupBy("band", "sketch").agg(*sizes, *same).filter("n > 2 AND lo <> hi")
+    once = groups.groupBy("n", "x", "y").agg(F.min(F.struct("band", "sketch", "shingles")).alias("g")).select("g.*", "n")
+    return named.join(once, ["band", "sketch"]).select("band", "sketch", "node", "size", "label", "n", "shingles")
+
+
+def common(rows: list[np.ndarray], cols: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many hashes each of ``rows`` has in common with each of ``cols``; all have distinct hashes."""
+    out = np.zeros((len(rows), len(cols)), np.float32)
+    (r, a), (c, b) = ((np.repeat(np.arange(len(x)), [len(h) for h in x]), np.concatenate(x)) for x in (rows, cols))
+    both = np.intersect1d(a, b)
+    sides = []
+    for own, hashes in ((r, a), (c, b)):
+        at = np.searchsorted(both, hashes)
+        at[at == len(both)] = 0
+        hit = both[at] == hashes if len(both) else np.zeros(len(hashes), bool)
+        own, at = own[hit], at[hit]
+        order = np.argsort(at, kind="stable")
+        sides.append((own[order], at[order]))
+    for first in range(0, len(both), width):
+        dense = []
+        for (own, at), n in zip(sides, out.shape):
+            lo, hi = np.searchsorted(at, [first, first + width])
+            m = np.zeros((n, min(width, len(both) - first)), np.float32)
+            m[own[lo:hi], at[lo:hi] - first] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def alike(left: list[tuple], right: list[tuple], kmers) -> Iterator[tuple[bytes, bytes]]:
+    """Labels whose classes are linked by two blocks of (node, label, text): all pairs of different classes are verified, links that change no class are left out."""
+    one = left is right
+    sides = []
+    for side in (left,) if one else (left, right):
+        whole = [kmers(text) for _, _, text in side]
+        sides.append((whole, [np.unique(k) for k in whole], [len(k) for k in whole]))
+    (ka, ua, na), (kb, ub, nb) = sides[0], sides[-1]
+    parent: dict[bytes, bytes] = {}
+
+    def root(x: bytes) -> bytes:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    names_a, names_b = (np.unique(np.array([row[1].hex() for row in left + right]), return_inverse=True)[1][part] for part in (slice(0, len(left)), slice(len(left), None)))
+    other = names_a[:, None] != names_b[None, :]
+    if one:
+        other = np.triu(other)
+    da, db = (np.array([len(u) for u in x], np.float64) for x in (ua, ub))
+    shared = common(ua, ub).astype(np.float64)
+    sure = other & (shared / (da[:, None] + db[None, :] - shared) >= SIMILAR)
+    for i, j in zip(*map(np.ndarray.tolist, np.nonzero(sure))):
+        x, y = root(left[i][1]), root(right[j][1])
+        if x != y:
+            parent[x] = y
+            yield left[i][1], right[j][1]
+    # only where both texts repeat shingles can the labelled likeness be the greater one; it bounds that of the aligned ones
+    ra, rb = ([i for i, u in enumerate(x) if len(u) < n[i]] for x, n in ((ua, na), (ub, nb)))
+    if not ra or not rb:
+        return
+    la = {i: labelled(ka[i]) for i in ra}
+    lb = la if one else {j: labelled(kb[j]) for j in rb}
+    marks = common([la[i] for i in ra], [lb[j] for j in rb]).astype(np.float64)
+    ta, tb = np.array([na[i] for i in ra], np.float64), np.array([nb[j] for j in rb], np.float64)
+    maybe = (marks / (ta[:, None] + tb[None, :] - marks) >= SIMILAR) & other[np.ix_(ra, rb)] & ~sure[np.ix_(ra, rb)]
+    for p, q in zip(*map(np.ndarray.tolist, np.nonzero(maybe))):
+        i, j = ra[p], rb[q]
+        x, y = root(left[i][1]), root(right[j][1])
+        if x != y and aligned(la[i], lb[j]) >= SIMILAR:
+            parent[x] = y
+            yield left[i][1], right[j][1]
+
+
+def settled(members: DataFrame, whole: DataFrame) -> DataFrame:
+    """Linked labels (u, v) of open groups, whose texts are dealt into blocks; each pair of blocks meets once."""
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node", "sketch"), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    key = ["band", "sketch", "i", "j"]
+    met = met.select("band", "sketch", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "node", "label")
+    rows = met.join(whole, "node").select(*key, "own", "node", "label", "text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words()
+        held: list[tuple] = []
+        last: tuple | None = None
+
+        def links() -> Iterator[pa.RecordBatch]:
+            i, j = last[2:]
+            left = [r[1:] for r in held if r[0] == i]
+            right = left if i == j else [r[1:] for r in held if r[0] == j]
+            if left and right and (out := list(alike(left, right, known.kmers))):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)], names=["u", "v"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:4] != last:
+                    if held:
+                        yield from links()
+                    held, last = [], row[:4]
+                held.append(row[4:])
+        if held:
+            yield from links()
+
+    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "u binary, v binary")
+
+
 def labels(docs: DataFrame) -> DataFrame:
     """(node, label) of every text that is like another one."""
     small_batches(docs.sparkSession)
     texts = nodes(docs)
-    return components(verified(texts, candidates(texts)))
+    shared = grouped(texts)
+    found = materialize(components(verified(texts, candidates(shared))), "labels")
+    left = materialize(opened(shared, found).select("band", "sketch", "node", "size"), "open")
+    if left.isEmpty():
+        return found
+    whole = materialize(texts.join(left.select("node").distinct(), "node").groupBy("node").agg(F.first("text").alias("text")), "open-texts")
+    for first, end in ROUNDS:
+        members = materialize(opened(left.filter(F.col("band").between(first, end - 1)), found), "members")
+        if members.isEmpty():
+            continue
+        links = materialize(settled(members, whole), "class-links")
+        if links.isEmpty():
+            continue
+        moved = materialize(components(links), "moved")
+        kept = found.join(moved.select(F.col("node").alias("label"), F.col("label").alias("least")), "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+        found = materialize(kept.union(moved.join(found, "node", "left_anti").select("node", "label")), "labels")
+    return found
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -143,3 +143,55 @@ def test_components(spark):
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(chain, "u string, v string")).collect()}
     assert got == {f"{i:03}": "000" for i in range(41)} | {"900": "900", "901": "900", "902": "900"}
     assert components(spark.createDataFrame([], "u string, v string")).count() == 0
+
+
+@pytest.mark.parametrize("block", [256, 40])
+def test_near_hub_and_spokes(spark, monkeypatch, block):
+    """Copies that are alike to their base and not to each other are in its class, wherever the base stands in their groups."""
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", block)
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 301):
+        copy = list(base)
+        for k, at in enumerate(rng.sample(range(5, 295), 6)):
+            copy[at] = f"c{i}x{k}"
+        rows.append((i, " ".join(copy)))
+    rows += [(1000 + i, " ".join([*base[:60], *(f"d{i}w{k}" for k in range(60))])) for i in range(50)]
+    want = {d: 0 if d < 1000 else d for d, _ in rows}
+    known = near_dedup.Words()
+    sets = [set(known.kmers(t).tolist()) for _, t in rows]
+    assert all(len(sets[0] & x) / len(sets[0] | x) >= 0.8 for x in sets[:301])
+    got = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == want
+
+
+def test_blocks_verify_as_pairs_do():
+    """The likeness of all pairs of two blocks is that of each pair, with repeats and moved passages."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(40)]
+    texts = []
+    for i in range(60):
+        t = rng.choice(texts).split(" ") if texts and rng.random() < 0.7 else [rng.choice(words[: rng.choice([6, 40])]) for _ in range(rng.randrange(1, 90))]
+        if rng.random() < 0.5:
+            t = t * rng.randrange(1, 4)
+        for _ in range(rng.randrange(3)):
+            t = t[:-1] + [rng.choice(words)] if rng.random() < 0.5 else t[len(t) // 2 :] + t[: len(t) // 2]
+        texts.append(" ".join(t))
+    known = near_dedup.Words()
+    rows = [(bytes([i]), bytes([i]), t) for i, t in enumerate(dict.fromkeys(texts))]
+    k = [known.kmers(t) for _, _, t in rows]
+    link = [(i, j) for i in range(len(rows)) for j in range(i) if near_dedup.likeness(k[i], k[j], np.unique(k[i]), np.unique(k[j])) >= 0.8]
+
+    def parts(pairs):
+        of = list(range(len(rows)))
+        for a, b in pairs:
+            of = [of[a] if x == of[b] else x for x in of]
+        return [of.index(x) for x in of]
+
+    half = len(rows) // 2
+    a, b = rows[:half], rows[half:]
+    got = [*near_dedup.alike(rows, rows, known.kmers)]
+    assert parts((x[0], y[0]) for x, y in got) == parts(link)
+    across = [*near_dedup.alike(a, b, known.kmers)]
+    assert parts((x[0], y[0]) for x, y in across) == parts((i, j) for i, j in link if (i < half) != (j < half))
