@@ -195,3 +195,20 @@ def test_blocks_verify_as_pairs_do():
     assert parts((x[0], y[0]) for x, y in got) == parts(link)
     across = [*near_dedup.alike(a, b, known.kmers)]
     assert parts((x[0], y[0]) for x, y in across) == parts((i, j) for i, j in link if (i < half) != (j < half))
+
+
+def test_near_repeats(spark):
+    """A text and the same text many times over have the same shingles, but few labelled ones in common."""
+    rows = [(d, t) for i in range(12) for d, t in ((2 * i, " ".join(f"r{i}w{k}" for k in range(200))),)]
+    rows += [(d + 1, " ".join([t] * (10 + d))) for d, t in rows]
+    got = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {d: d - d % 2 for d in range(24)}
+
+
+def test_sketches_of_distinct_shingles():
+    """The bound of 8e-8 holds for plain likeness: bands of distinct shingles don't see repeats or order."""
+    known = near_dedup.Words()
+    text = " ".join(f"w{i}" for i in range(200))
+    a, b = known.kmers(text), known.kmers(" ".join([text] * 20))
+    assert near_dedup.likeness(a, b, np.unique(a), np.unique(b)) >= 0.8
+    assert (near_dedup.sketches(a)[near_dedup.SKETCHES :] == near_dedup.sketches(b)[near_dedup.SKETCHES :]).any()
