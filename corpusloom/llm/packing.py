@@ -38,11 +38,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, eos: int) -> DataFram
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, pid, seen = encoding_of(tokenizer).encode_ordinary, TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        encoding, pid, seen = encoding_of(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encode(text)
+                ids = encoding.encode(text, allowed_special="all")
                 ids.append(eos)
                 raw = np.array(ids, dtype="<u4").tobytes()
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):

@@ -39,9 +39,25 @@ def ranks_of(path: str) -> dict[bytes, int]:
         return {base64.b64decode(t): int(r) for t, r in map(bytes.split, filter(None, f.read().splitlines()))}
 
 
+@lru_cache(maxsize=4)
+def added_of(path: str) -> dict[str, int]:
+    """Added tokens of a tokenizer .json file, which stand for their literals wherever a text has them."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens", ())
+    if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"{path}: added tokens that take in white space, whole words or normalized text alone")
+    return {t["content"]: t["id"] for t in added}
+
+
 @lru_cache(maxsize=4)
 def encoding_of(path: str):
-    """A tiktoken encoder over the vocabulary: the same ids as the tokenizers library, five times as fast."""
+    """A tiktoken encoder over the vocabulary, five times as fast as the tokenizers library.
+
+    ``encode(text, allowed_special="all")`` gives the ids of that library's
+    defaults; ``encode_ordinary`` takes the added tokens' literals for text.
+    """
     import tiktoken
 
-    return tiktoken.Encoding("own", pat_str=split_pattern(), mergeable_ranks=ranks_of(path), special_tokens={})
+    return tiktoken.Encoding("own", pat_str=split_pattern(), mergeable_ranks=ranks_of(path), special_tokens=added_of(path))

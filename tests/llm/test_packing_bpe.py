@@ -142,3 +142,17 @@ def test_round_trip(request, reference_encoder, name):
 
 def test_round_trip_none(empty):
     assert bpe.round_trip(empty).count() == 0
+
+
+def test_added_tokens_inside_texts(spark):
+    """The library's defaults take an added token's literal for its id."""
+    from tokenizers import Tokenizer
+
+    path = public_path("byte_bpe_50k.json")
+    default, fast = Tokenizer.from_file(path), encoding_of(path)
+    texts = ["hello <|endoftext|> world", "<|endoftext|><|endoftext|>", "a<|endoftext|", "x <|endoftext|>\n y", *fuzz(3000)]
+    for text in texts:
+        assert fast.encode(text, allowed_special="all") == default.encode(text, add_special_tokens=False).ids, json.dumps(text)
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts[:40])), "doc_id long, text string")).collect()
+    want = {d: [*default.encode(t, add_special_tokens=False).ids, 2] for d, t in enumerate(texts[:40])}
+    assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in rows} == {d: (len(x), brute.crc32_ids(x)) for d, x in want.items()}
