@@ -5,9 +5,9 @@ footers, sidebars, adverts, notices and comments are told by their elements and
 class names. Where a page marks its article, the article's blocks are its text.
 What stands beyond the articles of a host's pages goes to the host: the token
 streams are concatenated, a suffix array finds the token runs that are repeated
-in other pages, and of pages that mark no article only unique runs are text. A host with a third of all pages is dealt into groups of a bounded number
-of pages by a hash of the page; boilerplate that is on every page is repeated
-in every group.
+in other pages, and of pages that mark no article only unique runs are text. A host of many pages is dealt into groups of a bounded number of pages by a
+hash of the page, each with a suffix array; hashes of its token runs are counted
+over all its pages, so a run in pages of different groups is found as well.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import small_batches, table
+from .common import materialize, small_batches, table
 
 #: Tokens that a run needs to be boilerplate, and pages it needs to be on.
 RUN_TOKENS, RUN_PAGES = 5, 2
@@ -181,6 +181,31 @@ def parsed(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, PARSED)
 
 
+def run_hashes(tokens: list[str], least: int = RUN_TOKENS) -> list[int]:
+    """A hash of each window of ``least`` tokens."""
+    return [int.from_bytes(hashlib.blake2b(" ".join(tokens[i : i + least]).encode(), digest_size=8).digest(), "little", signed=True) for i in range(len(tokens) - least + 1)]
+
+
+def stream(*parts: list[str]) -> list[str]:
+    return [t for part in parts for x in part for t in x.split(" ")]
+
+
+def across(dealt: DataFrame) -> DataFrame:
+    """(k, common): hashes of a page's token runs that other distinct pages of its host have too, for hosts of several groups."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for host, key, other, chaff in zip(*(c.to_pylist() for c in batch.columns)):
+                if found := sorted(set(run_hashes(stream(other, chaff)))):
+                    n = len(found)
+                    yield pa.RecordBatch.from_arrays([pa.array([host] * n), pa.array([key] * n, pa.binary()), pa.array(found, pa.int64())], names=["host", "k", "run"])
+
+    large = dealt.filter(F.col("n") > GROUP_PAGES).select("host", "key", "other", "chaff")
+    runs = large.mapInArrow(run, "host string, k binary, run long")
+    often = runs.groupBy("host", "run").agg(F.count("*").alias("pages")).filter(F.col("pages") >= RUN_PAGES).drop("pages")
+    return runs.join(often, ["host", "run"]).groupBy("k").agg(F.collect_list("run").alias("common"))
+
+
 def unique_runs(found: DataFrame) -> DataFrame:
     """(key, kept): what each distinct page has beyond article and chaff that no other page of its host shares.
 
@@ -188,17 +213,25 @@ def unique_runs(found: DataFrame) -> DataFrame:
     which don't mark theirs are cleared of them.
     """
     streams = found.filter(F.size("other") + F.size("chaff") > 0).groupBy("host", "key").agg(F.first("other").alias("other"), F.first("chaff").alias("chaff"))
+    streams = materialize(streams, "streams")
     counts = streams.groupBy("host").agg(F.count("*").alias("n"))
     dealt = streams.join(counts, "host").withColumn("part", F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / GROUP_PAGES)))
+    met = dealt.join(across(dealt), F.col("key") == F.col("k"), "left")
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((k, o, c) for b in batches for k, o, c in zip(*(b.column(n).to_pylist() for n in ("key", "other", "chaff"))))
-        own = [[t for x in o for t in x.split(" ")] for _, o, _ in rows]
-        hits = covered([tokens + [t for x in c for t in x.split(" ")] for tokens, (_, _, c) in zip(own, rows)])
+        rows = sorted((k, o, c, m or []) for b in batches for k, o, c, m in zip(*(b.column(n).to_pylist() for n in ("key", "other", "chaff", "common"))))
+        own = [stream(o) for _, o, _, _ in rows]
+        whole = [stream(o, c) for _, o, c, _ in rows]
+        hits = covered(whole)
+        for tokens, hit, (*_, common) in zip(whole, hits, rows):
+            known = set(common)
+            for i, h in enumerate(run_hashes(tokens) if known else ()):
+                if h in known:
+                    hit[i : i + RUN_TOKENS] = True
         kept = [" ".join(t for t, h in zip(tokens, hit) if not h) for tokens, hit in zip(own, hits)]
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in rows], pa.binary()), pa.array(kept, pa.string())], names=["key", "kept"])
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array(kept, pa.string())], names=["key", "kept"])
 
-    return dealt.select("host", "part", "key", "other", "chaff").groupBy("host", "part").applyInArrow(run, "key binary, kept string")
+    return met.select("host", "part", "key", "other", "chaff", "common").groupBy("host", "part").applyInArrow(run, "key binary, kept string")
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -129,3 +129,12 @@ def test_covered_runs():
             seen.setdefault(tuple(s[i : i + 5]), set()).add(p)
     want = [[any(len(seen.get(tuple(s[j : j + 5]), ())) > 1 for j in range(max(0, i - 4), min(i, len(s) - 5) + 1)) for i in range(len(s))] for s in streams]
     assert [h.tolist() for h in html_text.covered(streams)] == want
+
+
+@pytest.mark.parametrize("group", [4, 256])
+def test_runs_across_groups(spark, monkeypatch, group):
+    """A run on two pages of a host is found however its pages are dealt."""
+    monkeypatch.setattr(html_text, "GROUP_PAGES", group)
+    rows = [(i, f"http://h.example.org/{i}", f"<div>own{i} text{i}</div><p>{' '.join(f'p{i // 2}t{k}' for k in range(8))}</p>") for i in range(40)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame([(*r, "h", "k", "a", "t") for r in rows], PAGES)).collect()}
+    assert got == {i: f"own{i} text{i}" for i in range(40)}
