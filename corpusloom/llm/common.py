@@ -7,22 +7,38 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: Rows in an Arrow batch: whole texts travel in them, so far fewer than Spark's default.
-ARROW_ROWS = 512
+#: Rows and bytes in an Arrow batch, the same for all operators: whole texts travel in them, so the bytes count too.
+ARROW_ROWS, ARROW_BYTES = 4096, 1 << 22
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; one of our own only where the session names none."""
+    """The folder all executors share, as spark.checkpoint.dir names it.
+
+    Where the session names none, one of our own is made for a local master
+    alone: on a cluster each executor would write to its own disk.
+    """
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder; what is there when the application ends goes with it."""
+    path = f"{shared_dir(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
+    fs, at = _store(spark, path)
+    fs.deleteOnExit(at)
+    return path
+
+
+def _store(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -33,11 +49,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes materialized tables that no later plan reads."""
+    for df in tables:
+        fs, at = _store(df.sparkSession, df._written_to)
+        fs.delete(at, True)
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """One size for all operators, as plans read it when they run, not when they are made."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize
+from .common import forget, materialize
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -22,19 +22,23 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn until nothing changes: a number of
     rounds logarithmic in the longest chain, each an aggregate that combines
     map-side and an equi-join, written to the shared folder. No group is ever
-    collected, so a component may hold any share of the nodes.
+    collected, so a component may hold any share of the nodes. The least
+    neighbours are written before they are joined: both sides of the join are
+    then plain exchanges, and adaptive execution splits a node with many links.
     """
     edges = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     before = None
     while (now := _state(edges)) != before:
-        before = now
+        before, old = now, edges
         both = _both(edges)
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        edges = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        edges = materialize(edges, "large-star")
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        edges = materialize(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), "large-star")
+        forget(old, least)
+        old = edges
+        least = materialize(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
         joined = edges.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v")))
         edges = materialize(small.filter("u <> v").distinct(), "small-star")
+        forget(old, least)
     labels = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label"))
     return labels.union(labels.select(F.col("label").alias("node"), "label").distinct())

@@ -241,7 +241,7 @@ def extract(pages: DataFrame) -> DataFrame:
     host; repeated rows give a row each and count as one page of their host; an
     empty table gives no rows.
     """
-    small_batches(pages.sparkSession, 256)
+    small_batches(pages.sparkSession)
     found = parsed(pages)
     marked = found.filter("marked").select("page_id", "url", "text")
     rest = found.filter("NOT marked").select("page_id", "url", F.col("key").alias("k"))

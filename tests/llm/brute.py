@@ -115,54 +115,34 @@ def shingles(text: str | None, k: int = 5) -> list[tuple[str, ...]]:
     return [tuple(w[i : i + k]) for i in range(len(w) - k + 1)] if len(w) >= k else [tuple(w)] if w else []
 
 
-def labelled(s: list) -> list:
-    seen: Counter = Counter()
-    out = []
-    for x in s:
-        out.append((x, seen[x]))
-        seen[x] += 1
-    return out
-
-
-def aligned(a: list, b: list, similar: float = 0.8, k: int = 5) -> float:
-    """Longest chain of common labelled shingles that rises in both, inside the band, against all shingles."""
-    place = {x: j for j, x in enumerate(labelled(b))}
-    band = int((1 - similar) * max(len(a), len(b))) + k
-    chain = [place[x] for i, x in enumerate(labelled(a)) if x in place and abs(place[x] - i) <= band]
-    best: list[int] = []
-    for n, x in enumerate(chain):
-        best.append(1 + max([best[m] for m in range(n) if chain[m] < x], default=0))
-    n = max(best, default=0)
-    return n / (len(a) + len(b) - n)
+def alike(a: str | None, b: str | None) -> bool:
+    """Whether the longest common subsequence of their words has 0.8 of the longer text's."""
+    x, y = (re.findall(r"\w+", (t or "").lower()) for t in (a, b))
+    n = max(len(x), len(y))
+    if not n or 5 * sum((Counter(x) & Counter(y)).values()) < 4 * n:
+        return False
+    before = [0] * (len(y) + 1)
+    for w in x:
+        row = [0]
+        for j, v in enumerate(y):
+            row.append(before[j] + 1 if w == v else max(before[j + 1], row[j]))
+        before = row
+    return 5 * before[-1] >= 4 * n
 
 
-def alike(a: str | None, b: str | None, similar: float = 0.8) -> bool:
-    if (a or "") == (b or ""):
-        return True
-    x, y = shingles(a), shingles(b)
-    if not x or not y:
-        return False
-    if jaccard(set(x), set(y)) >= similar:
-        return True
-    return min(len(x), len(y)) >= similar * max(len(x), len(y)) and aligned(x, y) >= similar
+def near_links(texts: list[str | None]) -> list[tuple[int, int]]:
+    """Pairs of different texts that are alike, and pairs of equal ones."""
+    bags = [set(shingles(t)) for t in texts]
+    return [(j, i) for i in range(len(texts)) for j in range(i) if (texts[i] or "") == (texts[j] or "") or bags[i] & bags[j] and alike(texts[i], texts[j])]
 
 
 def near_classes(texts: list[str | None]) -> list[int]:
     """For each text the number of its component's first text."""
     root = list(range(len(texts)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    sizes = [len(shingles(t)) for t in texts]
-    for i in range(len(texts)):
-        for j in range(i):
-            if find(i) != find(j) and (texts[i] == texts[j] or set(shingles(texts[i])) & set(shingles(texts[j])) or not sizes[i] + sizes[j]) and alike(texts[i], texts[j]):
-                a, b = sorted((find(i), find(j)))
-                root[b] = a
-    return [find(i) for i in range(len(texts))]
+    for j, i in near_links(texts):
+        a, b = sorted((root[i], root[j]))
+        root = [a if x == b else x for x in root]
+    return root
 
 
 # op10
