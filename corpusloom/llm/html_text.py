@@ -2,12 +2,14 @@
 
 Markup is read with one scan for tags. Scripts, styles, forms, menus, headers,
 footers, sidebars, adverts, notices and comments are told by their elements and
-class names. Where a page marks its article, the article's blocks are its text.
-What stands beyond the articles of a host's pages goes to the host: the token
-streams are concatenated, a suffix array finds the token runs that are repeated
-in other pages, and of pages that mark no article only unique runs are text. A host of many pages is dealt into groups of a bounded number of pages by a
-hash of the page, each with a suffix array; hashes of its token runs are counted
-over all its pages, so a run in pages of different groups is found as well.
+class names; what stands beyond the articles of a host's pages is the host's
+token stream. Its suffixes are sorted by their first tokens: the suffix array
+of all pages of the host, to the depth of the shortest run that counts, cut into
+ranges over any number of tasks. Neighbours in it that begin alike in distinct
+pages are repeated runs. Of a page that marks no article the unique runs are the
+text; of one that does, its article's blocks, whole: pages quote the headlines
+and first lines of others in their menus and sidebars, so what is repeated
+beyond articles may be an article's own text.
 """
 
 from __future__ import annotations
@@ -23,10 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import materialize, small_batches, table
 
-#: Tokens that a run needs to be boilerplate, and pages it needs to be on.
-RUN_TOKENS, RUN_PAGES = 5, 2
-#: Pages of a host that are looked at together.
-GROUP_PAGES = 256
+#: Tokens that a run needs to be boilerplate; it must be on two distinct pages of its host.
+RUN_TOKENS = 5
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?\]\]>|<[!?/]?[A-Za-z][^<>\"']*(?:\"[^\"]*\"[^<>\"']*|'[^']*'[^<>\"']*)*>|<[!?/][^<>]*>", re.S | re.I)
 _NAME = re.compile(r"</?([A-Za-z][A-Za-z0-9-]*)")
@@ -36,6 +36,8 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _SKIP = frozenset("head title nav footer aside form menu button dialog".split())
 #: Elements that end where a block of the same kind begins, so that their missing end tags don't matter.
 _LOOSE = frozenset("p li dt dd tr td th option b i em strong a span u small font".split())
+#: Beyond articles a part of a class name tells; inside of them the whole name must be one of these.
+_INSIDE = frozenset("ad ads advert advertisement banner breadcrumb breadcrumbs comment comments cookie-notice disqus disqus_thread menu nav navigation newsletter notice popup promo related-posts share sharing sidebar social social-share sponsored subscribe toolbar widget".split())
 _CHAFF = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|masthead|menu|nav|navbar|navigation|newsletter|notice|popup|promo\w*|related|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
 
 
@@ -95,8 +97,8 @@ def blocks(page: str) -> tuple[list[str], list[str], list[str], bool]:
             found = inside = True
         elif name in _SKIP or name == "header" and not inside:
             chaff = True
-        elif name not in ("body", "html", "article", "main") and (a := " ".join(filter(None, (x for t in _ATTR.findall(tag) for x in t)))) and _CHAFF.search(a):
-            chaff = True
+        elif name not in ("body", "html", "article", "main") and (a := " ".join(filter(None, (x for t in _ATTR.findall(tag) for x in t)))):
+            chaff = chaff or (not _INSIDE.isdisjoint(a.lower().split()) if inside else _CHAFF.search(a) is not None)
     buffer.append(page[at:])
     flush()
     return article, other, chaff_blocks, found
@@ -106,63 +108,7 @@ def host_of(url: str) -> str:
     return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*://", "", url).split("/")[0].split("?")[0].lower()
 
 
-def suffix_array(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array by prefix doubling, and the common length of each suffix with the one before it."""
-    n = len(ids)
-    rank = np.unique(ids, return_inverse=True)[1]
-    step = 1
-    while True:
-        ahead = np.full(n, -1)
-        ahead[: n - step] = rank[step:]
-        order = np.lexsort((ahead, rank))
-        new = np.concatenate([[0], np.cumsum((rank[order[1:]] != rank[order[:-1]]) | (ahead[order[1:]] != ahead[order[:-1]]))])
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        step *= 2
-        if new[-1] == n - 1 or step >= n:
-            break
-    common, h = np.zeros(n, np.int64), 0
-    for i in range(n):
-        if rank[i]:
-            j = order[rank[i] - 1]
-            while i + h < n and j + h < n and ids[i + h] == ids[j + h]:
-                h += 1
-            common[rank[i]] = h
-            h -= h > 0
-        else:
-            h = 0
-    return order, common
-
-
-def covered(streams: list[list[str]], least: int = RUN_TOKENS, pages: int = RUN_PAGES) -> list[np.ndarray]:
-    """For each page's tokens, whether a run of ``least`` tokens or more covers them that as many distinct pages share."""
-    known: dict[str, int] = {}
-    ids: list[int] = []
-    owner: list[int] = []
-    for p, tokens in enumerate(streams):
-        ids += [known.setdefault(t, len(known)) for t in tokens]
-        ids.append(-p - 1)  # ends are all different, so no run crosses pages
-        owner += [p] * (len(tokens) + 1)
-    if not ids:
-        return []
-    a, page = np.array(ids), np.array(owner)
-    order, common = suffix_array(a)
-    n = len(a)
-    # suffixes with ``least`` common tokens stand together; a group counts from ``pages`` distinct pages on
-    group = np.cumsum(common < least)
-    size = np.bincount(group, minlength=group[-1] + 1)
-    pair = np.unique(group * (len(streams) + 1) + page[order])
-    distinct = np.bincount(pair // (len(streams) + 1), minlength=len(size))
-    starts = order[(distinct[group] >= pages) & (size[group] > 1)]
-    mark = np.zeros(n + least + 1, np.int64)
-    np.add.at(mark, starts, 1)
-    np.add.at(mark, starts + least, -1)
-    hit = np.cumsum(mark)[:n] > 0
-    ends = np.flatnonzero(a < 0)
-    return [hit[s:e] for s, e in zip(np.concatenate([[0], ends[:-1] + 1]), ends)]
-
-
-PARSED = "page_id long, url string, text string, marked boolean, host string, key binary, other array<string>, chaff array<string>"
+PARSED = "page_id long, url string, marked boolean, host string, key binary, article array<string>, other array<string>, chaff array<string>"
 
 
 def parsed(pages: DataFrame) -> DataFrame:
@@ -173,65 +119,90 @@ def parsed(pages: DataFrame) -> DataFrame:
                 article, other, chaff, marked = blocks(page or "")
                 host = host_of(url or "")
                 key = hashlib.blake2b(f"{host}\0{page or ''}".encode(), digest_size=16).digest()
-                out.append((page_id, url, " ".join(article), marked, host, key, other, chaff))
+                out.append((page_id, url, marked, host, key, article, other, chaff))
             if out:
-                kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.string(), pa.binary(), *[pa.list_(pa.string())] * 2]
+                kinds = [pa.int64(), pa.string(), pa.bool_(), pa.string(), pa.binary(), *[pa.list_(pa.string())] * 3]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in PARSED.split(", ")])
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, PARSED)
 
 
-def run_hashes(tokens: list[str], least: int = RUN_TOKENS) -> list[int]:
-    """A hash of each window of ``least`` tokens."""
-    return [int.from_bytes(hashlib.blake2b(" ".join(tokens[i : i + least]).encode(), digest_size=8).digest(), "little", signed=True) for i in range(len(tokens) - least + 1)]
-
-
 def stream(*parts: list[str]) -> list[str]:
     return [t for part in parts for x in part for t in x.split(" ")]
 
 
-def across(dealt: DataFrame) -> DataFrame:
-    """(k, common): hashes of a page's token runs that other distinct pages of its host have too, for hosts of several groups."""
+def suffixes(found: DataFrame, least: int = RUN_TOKENS) -> DataFrame:
+    """(host, head, key, pos): the first ``least`` tokens of every suffix of a page's stream beyond its article."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out: tuple[list, ...] = ([], [], [], [])
             for host, key, other, chaff in zip(*(c.to_pylist() for c in batch.columns)):
-                if found := sorted(set(run_hashes(stream(other, chaff)))):
-                    n = len(found)
-                    yield pa.RecordBatch.from_arrays([pa.array([host] * n), pa.array([key] * n, pa.binary()), pa.array(found, pa.int64())], names=["host", "k", "run"])
+                t = stream(other, chaff)
+                n = max(0, len(t) - least + 1)
+                for c, x in zip(out, ([host] * n, (" ".join(t[i : i + least]) for i in range(n)), [key] * n, range(n))):
+                    c.extend(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.string(), pa.string(), pa.binary(), pa.int32()))], names=["host", "head", "key", "pos"])
 
-    large = dealt.filter(F.col("n") > GROUP_PAGES).select("host", "key", "other", "chaff")
-    runs = large.mapInArrow(run, "host string, k binary, run long")
-    often = runs.groupBy("host", "run").agg(F.count("*").alias("pages")).filter(F.col("pages") >= RUN_PAGES).drop("pages")
-    return runs.join(often, ["host", "run"]).groupBy("k").agg(F.collect_list("run").alias("common"))
+    return found.select("host", "key", "other", "chaff").mapInArrow(run, "host string, head string, key binary, pos int")
 
 
-def unique_runs(found: DataFrame) -> DataFrame:
-    """(key, kept): what each distinct page has beyond article and chaff that no other page of its host shares.
+def repeated(array: DataFrame) -> DataFrame:
+    """(key, pos) of the suffixes whose first tokens begin a suffix in another page of the host too.
 
-    Menus and footers that some pages mark as such take part, so that pages
-    which don't mark theirs are cleared of them.
+    The sorted suffixes are dealt by ranges of all their columns, so neither a
+    host nor a run that a third of the pages have is one task's. One pass keeps
+    the suffixes of a single page until another page's follows; what stands at
+    either end of a range may go on beyond it and is settled by a join with the
+    heads that ends of ranges have in several pages.
     """
-    streams = found.filter(F.size("other") + F.size("chaff") > 0).groupBy("host", "key").agg(F.first("other").alias("other"), F.first("chaff").alias("chaff"))
-    streams = materialize(streams, "streams")
-    counts = streams.groupBy("host").agg(F.count("*").alias("n"))
-    dealt = streams.join(counts, "host").withColumn("part", F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / GROUP_PAGES)))
-    met = dealt.join(across(dealt), F.col("key") == F.col("k"), "left")
-
-    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((k, o, c, m or []) for b in batches for k, o, c, m in zip(*(b.column(n).to_pylist() for n in ("key", "other", "chaff", "common"))))
-        own = [stream(o) for _, o, _, _ in rows]
-        whole = [stream(o, c) for _, o, c, _ in rows]
-        hits = covered(whole)
-        for tokens, hit, (*_, common) in zip(whole, hits, rows):
-            known = set(common)
-            for i, h in enumerate(run_hashes(tokens) if known else ()):
-                if h in known:
-                    hit[i : i + RUN_TOKENS] = True
-        kept = [" ".join(t for t, h in zip(tokens, hit) if not h) for tokens, hit in zip(own, hits)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array(kept, pa.string())], names=["key", "kept"])
-
-    return met.select("host", "part", "key", "other", "chaff", "common").groupBy("host", "part").applyInArrow(run, "key binary, kept string")
+    names = ["host", "head", "key", "pos"]
+    sure, open_, seen = 1, 2, 3
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: tuple | None = None
+        first = True  # in the range's first group
+        pages: list[bytes] = []  # up to two different ones
+        held: list[tuple] = []  # suffixes of a group's only page so far
+
+        def ended(last: bool) -> list[tuple]:
+            """What is left of a group that may go on in another range: its suffixes without a verdict, or the pages that give others theirs."""
+            if not (first or last):
+                return []
+            return [(*now, page, -1, seen) for page in pages] if len(pages) > 1 else [(*r, open_) for r in held]
+
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:2] != now:
+                    if now is not None:
+                        out += ended(False)
+                        first = False
+                    now, pages, held = row[:2], [], []
+                if len(pages) < 2 and row[2] not in pages:
+                    pages.append(row[2])
+                    if len(pages) == 2:
+                        out += [(*r, sure) for r in held]
+                        held = []
+                if len(pages) == 2:
+                    out.append((*row, sure))
+                else:
+                    held.append(row)
+            if out:
+                yield made(out)
+        if now is not None and (out := ended(True)):
+            yield made(out)
+
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.string(), pa.string(), pa.binary(), pa.int32(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[*names, "state"])
+
+    dealt = array.repartitionByRange(*names).sortWithinPartitions(*names)
+    scanned = materialize(dealt.mapInArrow(scan, "host string, head string, key binary, pos int, state int"), "suffix-array")
+    ends = scanned.filter(f"state <> {sure}").groupBy("host", "head").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+    often = materialize(ends.filter("lo <> hi").select("host", "head"), "range-ends")
+    settled = scanned.filter(f"state = {open_}").join(often, ["host", "head"])
+    return scanned.filter(f"state = {sure}").select("key", "pos").union(settled.select("key", "pos"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -239,14 +210,31 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Null and empty html gives empty text; a null URL belongs to the nameless
     host; repeated rows give a row each and count as one page of their host; an
-    empty table gives no rows.
+    empty table gives no rows. Runs that near copies without an article share
+    count as repeated.
     """
     small_batches(pages.sparkSession)
-    found = parsed(pages)
-    marked = found.filter("marked").select("page_id", "url", "text")
-    rest = found.filter("NOT marked").select("page_id", "url", F.col("key").alias("k"))
-    kept = unique_runs(found)
-    bare = rest.join(kept, F.col("k") == F.col("key"), "left").select("page_id", "url", F.coalesce("kept", F.lit("")).alias("text"))
+    found = materialize(parsed(pages), "parsed")  # each page is parsed once
+    marked = found.filter("marked").select("page_id", "url", F.array_join("article", " ").alias("text"))
+    hosts = materialize(found.filter("NOT marked").select("host").distinct(), "hosts")  # the others' arrays decide nothing
+    array = suffixes(found.join(hosts, "host", "left_semi"))
+    runs = materialize(repeated(array).distinct().groupBy("key").agg(F.collect_list("pos").alias("at")), "runs")
+
+    def unique(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for other, at in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                t = stream(other)
+                hit = np.zeros(len(t) + 1, np.int64)
+                for k in at or ():
+                    if k < len(t):
+                        hit[k] += 1
+                        hit[min(k + RUN_TOKENS, len(t))] -= 1
+                texts.append(" ".join(x for x, h in zip(t, np.cumsum(hit)) if not h))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+
+    bare = found.filter("NOT marked").select("page_id", "url", "key", "other").join(runs, "key", "left")
+    bare = bare.select("page_id", "url", "other", "at").mapInArrow(unique, "page_id long, url string, text string")
     out = marked.unionByName(bare)
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 

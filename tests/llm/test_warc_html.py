@@ -119,22 +119,58 @@ def test_boilerplate_without_articles(spark):
     assert got[100] == menu and got[101] == got[102] == "" and got[103] == got[0]
 
 
-def test_covered_runs():
-    """Runs of five tokens or more that two pages share, against all windows."""
+def host_pages(rows):
+    return [(i, f"http://h.example.org/{i}", x, "h", "k", "a", "t") for i, x in rows]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 40])
+def test_repeated_suffixes(spark, parts):
+    """Suffixes that begin like one of another page, against all pairs, however the array is cut into ranges."""
     rng = random.Random(4)
     streams = [[rng.choice("abc") for _ in range(rng.randrange(40))] for _ in range(8)]
+    rows = [("h", bytes([p]), [" ".join(s)] if s else [], []) for p, s in enumerate(streams)] * 2
+    found = spark.createDataFrame(rows, "host string, key binary, other array<string>, chaff array<string>")
     seen: dict = {}
     for p, s in enumerate(streams):
         for i in range(len(s) - 4):
             seen.setdefault(tuple(s[i : i + 5]), set()).add(p)
-    want = [[any(len(seen.get(tuple(s[j : j + 5]), ())) > 1 for j in range(max(0, i - 4), min(i, len(s) - 5) + 1)) for i in range(len(s))] for s in streams]
-    assert [h.tolist() for h in html_text.covered(streams)] == want
-
-
-@pytest.mark.parametrize("group", [4, 256])
-def test_runs_across_groups(spark, monkeypatch, group):
-    """A run on two pages of a host is found however its pages are dealt."""
-    monkeypatch.setattr(html_text, "GROUP_PAGES", group)
-    rows = [(i, f"http://h.example.org/{i}", f"<div>own{i} text{i}</div><p>{' '.join(f'p{i // 2}t{k}' for k in range(8))}</p>") for i in range(40)]
-    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame([(*r, "h", "k", "a", "t") for r in rows], PAGES)).collect()}
-    assert got == {i: f"own{i} text{i}" for i in range(40)}
+    often = {x for x, pages in seen.items() if len(pages) > 1}
+    want = {(p, i) for p, s in enumerate(streams) for i in range(len(s) - 4) if tuple(s[i : i + 5]) in often}
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r["key"][0], r["pos"]) for r in html_text.repeated(html_text.suffixes(found)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == want and len(want) > 30
+
+
+def test_rare_runs_of_a_large_host(spark):
+    """A notice that two of 600 pages of a host share is found in both."""
+    notice = "this one notice is on two pages"
+    rows = [(i, f"<div>own{i} text{i} of page{i}</div>" + (f"<p>{notice}</p>" if i in (17, 503) else "")) for i in range(600)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(host_pages(rows), PAGES).repartition(5)).collect()}
+    assert got == {i: f"own{i} text{i} of page{i}" for i in range(600)}
+
+
+def test_articles_stay_whole(spark):
+    """What other pages quote beyond their articles, and what articles repeat, is an article's text."""
+    headline, story = "The river ran past the old mill", "All of this was said before in the other story"
+    rows = [(i, f"<article><h1>{headline}</h1><p>{story}</p></article><div class='sidebar'>{headline}</div>") for i in range(3)]
+    rows += [(10, f"<div>{headline}</div><p>only here</p>")]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(host_pages(rows), PAGES)).collect()}
+    assert got == {**{i: f"{headline} {story}" for i in range(3)}, 10: "only here"}
+
+
+def test_class_names_inside_articles():
+    page = '<article><div class="related-work">A</div><section class="social-science">B</section><div class="share x">C</div></article><div class="top-banner">D</div>'
+    article, _, chaff, _ = html_text.blocks(page)
+    assert article == ["A", "B"] and chaff == ["C", "D"]
+
+
+def test_long_page(spark):
+    body = " ".join(f"w{i}" for i in range(200_000))
+    got = html_text.extract(spark.createDataFrame(host_pages([(1, f"<nav>n</nav><article><p>{body}</p></article>"), (2, f"<p>{body}</p>")]), PAGES)).collect()
+    assert {r["page_id"]: (r["text"], r["n_chars"]) for r in got} == {1: (body, len(body)), 2: (body, len(body))}
