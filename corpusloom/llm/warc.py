@@ -3,17 +3,21 @@
 Pages are written as WARC/1.1 records by Spark's own text writer, with the
 record separator CR LF CR LF as its line separator, so archives can be in any
 store that Spark writes to and survive lost executors. Each archive is a run
-sorted by (URL key, time). The reader frames records by Content-Length, checks
-every payload against its digest and yields one index row per capture; the
-index is dealt by key ranges and each range merges its sorted runs with a loser
-tree, which gives globally ordered capture histories.
+sorted by (URL key, time). They are read through Spark's text reader, whatever
+their store, as a stream of which one record is held at a time: records are
+framed by Content-Length, every payload is checked against its digest and each
+capture gives an index row. The index is dealt by key ranges; each range keeps
+its sorted runs in a temporary file and merges them with a loser tree of which
+every leaf holds a chunk of its run, which gives globally ordered histories.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
+import pickle
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from itertools import count, islice
 from typing import Any
 
 import pyarrow as pa
@@ -23,10 +27,10 @@ from .common import materialize, new_path, small_batches, table
 
 MIN_REVISIT_BYTES = 1000
 CRLF = "\r\n"
-#: Rows in an archive at most, so that a reader holds a bounded piece.
+#: Rows in an archive at most; its bytes are at most those of one partition of the pages.
 ARCHIVE_ROWS = 2048
-#: Index rows in a key range at most, but for captures of one page at one time.
-RANGE_ROWS = 500_000
+#: Index rows in a key range, about; rows of a run that are held at a time.
+RANGE_ROWS, CHUNK_ROWS = 500_000, 512
 CAPTURE = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url_key string, capture_s long, archive string, record_offset long"
 
 
@@ -63,7 +67,7 @@ def record(revisit: bool) -> F.Column:
         F.lit("WARC/1.1"),
         F.lit("WARC-Type: revisit" if revisit else "WARC-Type: response"),
         F.concat(F.lit("WARC-Record-ID: "), urn(F.col("page_id"))),
-        F.concat(F.lit("WARC-Date: "), F.date_format(F.timestamp_seconds(F.col("capture_s")), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        F.concat(F.lit("WARC-Date: "), F.replace(F.expr("CAST(timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, capture_s) AS STRING)"), F.lit(" "), F.lit("T")), F.lit("Z")),  # UTC whatever the session's time zone
         F.concat(F.lit("WARC-Target-URI: "), uri),
         F.concat(F.lit("X-Url-Key: "), F.regexp_replace("url_key", r"[\x00-\x20\x7F]", "%20")),
         F.concat(F.lit("X-Capture-Seconds: "), F.col("capture_s").cast("string")),
@@ -84,20 +88,33 @@ def write_archives(pages: DataFrame, path: str, least: int = MIN_REVISIT_BYTES)
     rows.write.option("lineSep", CRLF + CRLF).option("compression", "gzip").option("maxRecordsPerFile", ARCHIVE_ROWS).text(path)
 
 
-def parse(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, headers, block) of the records of an unpacked archive."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        first, *lines = data[at:end].decode("utf-8").split(CRLF)
-        if not first.startswith("WARC/"):
-            raise ValueError(f"no WARC record at {at}")
-        headers = dict(x.split(": ", 1) for x in lines)
-        stop = end + 4 + int(headers["Content-Length"])
-        if data[stop : stop + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at {at} isn't closed")
-        yield at, headers, data[end + 4 : stop]
-        at = stop + 4
+class Records:
+    """Records of one archive, from its bytes as they come."""
+
+    def __init__(self, name: str):
+        self.name, self.held, self.at = name, bytearray(), 0
+
+    def feed(self, data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
+        """(offset, headers, block) of the records that are complete now."""
+        held = self.held
+        held += data
+        while (end := held.find(b"\r\n\r\n")) >= 0:
+            first, *lines = held[:end].decode("utf-8").split(CRLF)
+            if not first.startswith("WARC/"):
+                raise ValueError(f"no WARC record at {self.at} of {self.name}")
+            headers = dict(x.split(": ", 1) for x in lines)
+            stop = end + 4 + int(headers["Content-Length"])
+            if len(held) < stop + 4:
+                return
+            if held[stop : stop + 4] != b"\r\n\r\n":
+                raise ValueError(f"record at {self.at} of {self.name} isn't closed")
+            yield self.at, headers, bytes(held[end + 4 : stop])
+            del held[: stop + 4]
+            self.at += stop + 4
+
+    def close(self) -> None:
+        if self.held:
+            raise ValueError(f"{self.name} ends within a record")
 
 
 def page_of(urn: str | None) -> int | None:
@@ -107,22 +124,36 @@ def page_of(urn: str | None) -> int | None:
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The captures of all archives under a path, payloads checked against their digests."""
 
+    def row(name: str, at: int, h: dict[str, str], block: bytes) -> tuple:
+        size, digest, revisit = int(h["X-Payload-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:"), h["WARC-Type"] == "revisit"
+        if not revisit:
+            payload = block[block.index(b"\r\n\r\n") + 4 :]
+            if (len(payload), hashlib.sha1(payload).hexdigest()) != (size, digest):
+                raise ValueError(f"payload of {h.get('WARC-Record-ID')} doesn't match its digest")
+        return page_of(h.get("WARC-Record-ID")), size, digest, h["WARC-Type"], page_of(h.get("WARC-Refers-To")), h["X-Url-Key"], int(h["X-Capture-Seconds"]), name, at
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: Records | None = None
         for batch in batches:
-            for name, content in zip(batch.column(0), batch.column(1)):
-                out = []
-                for at, h, block in parse(gzip.decompress(content.as_buffer())):
-                    size, digest, revisit = int(h["X-Payload-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:"), h["WARC-Type"] == "revisit"
-                    if not revisit:
-                        payload = block[block.index(b"\r\n\r\n") + 4 :]
-                        if (len(payload), hashlib.sha1(payload).hexdigest()) != (size, digest):
-                            raise ValueError(f"payload of {h.get('WARC-Record-ID')} doesn't match its digest")
-                    out.append((page_of(h.get("WARC-Record-ID")), size, digest, h["WARC-Type"], page_of(h.get("WARC-Refers-To")), h["X-Url-Key"], int(h["X-Capture-Seconds"]), name.as_py().rpartition("/")[2], at))
-                if out:
-                    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in CAPTURE.split(", ")])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, CAPTURE)
+            out = []
+            for name, piece in zip(*(c.to_pylist() for c in batch.columns)):
+                if now is None or now.name != name:
+                    if now is not None:
+                        now.close()
+                    now = Records(name)
+                out += [row(name, *x) for x in now.feed(piece + b"\r\n\r\n")]
+            if out:
+                yield captures(out)
+        if now is not None:
+            now.close()
+
+    def captures(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in CAPTURE.split(", ")])
+
+    # a compressed archive is read by one task, from its beginning to its end
+    pieces = spark.read.option("lineSep", CRLF + CRLF).text(path).select(F.col("_metadata.file_name").alias("name"), F.col("value").cast("binary").alias("piece"))
+    return pieces.mapInArrow(run, CAPTURE)
 
 
 class LoserTree:
@@ -167,8 +198,10 @@ def merge_index(captures: DataFrame) -> DataFrame:
     """Captures in the global order of (URL key, time, page), numbered from 0 in ``capture_no``.
 
     Key ranges are cut on all three columns, so that one URL with a third of
-    the captures spans many of them; each range holds only its own index rows,
-    and the number of ranges follows that of the captures.
+    the captures spans many of them; their number follows that of the captures,
+    and a range holds a chunk of each of its runs at a time. Repeated rows are
+    captures of their own, null ids come before others, and an empty index
+    gives no rows.
     """
     names = [x.split()[0] for x in CAPTURE.split(", ")]
     out = f"{CAPTURE}, pid int, pos long"
@@ -176,18 +209,38 @@ def merge_index(captures: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        runs: dict[str, list[tuple]] = {}
-        for batch in batches:
-            for row in zip(*(batch.column(n).to_pylist() for n in names)):
-                runs.setdefault(row[7], []).append(row)
         order = lambda r: (r[5].encode(), r[6], r[0] is not None, r[0] or 0)  # noqa: E731  nulls first, as Spark has them
-        for rows in runs.values():
-            if any(order(a) > order(b) for a, b in zip(rows, rows[1:])):  # an archive written by others
-                rows.sort(key=order)
-        merged = [(*r, TaskContext.get().partitionId(), i) for i, r in enumerate(LoserTree([runs[a] for a in sorted(runs)], order))]
-        if merged:
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*merged), kinds)], names=[*names, "pid", "pos"])
+        with tempfile.TemporaryFile() as store:
+            runs: list[list[int]] = []  # where the chunks of each run are
+            held: list[tuple] = []
+
+            def put() -> None:
+                if held:
+                    runs[-1].append(store.tell())
+                    pickle.dump(held, store)
+                    held.clear()
+
+            def read(places: list[int]) -> Iterator[tuple]:
+                for at in places:
+                    store.seek(at)
+                    yield from pickle.load(store)
+
+            last: tuple | None = None
+            for batch in batches:
+                for row in zip(*(batch.column(n).to_pylist() for n in names)):
+                    if last is None or row[7] != last[7] or order(row) < order(last):  # an archive written by others may be several runs
+                        put()
+                        runs.append([])
+                    held.append(row)
+                    last = row
+                    if len(held) == CHUNK_ROWS:
+                        put()
+            put()
+            merged = zip(LoserTree([read(x) for x in runs], order), count())
+            while some := list(islice(merged, 4096)):
+                rows = [(*r, TaskContext.get().partitionId(), i) for r, i in some]
+                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[*names, "pid", "pos"])
 
     spark = captures.sparkSession
     captures = materialize(captures, "index")  # the archives are read once, the ranges are cut on index rows
@@ -218,8 +271,8 @@ keyed AS (
          CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS owner
   FROM base)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
-       CASE WHEN owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN owner <> page_id THEN owner END AS refers_to,
-       row_number() OVER (ORDER BY url_key, page_id) - 1 AS capture_no
+       CASE WHEN owner IS NOT NULL AND owner IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN owner IS DISTINCT FROM page_id THEN owner END AS refers_to,
+       row_number() OVER (ORDER BY url_key, 1577836800 + coalesce(page_id, 0), page_id NULLS FIRST) - 1 AS capture_no
 FROM keyed
 """

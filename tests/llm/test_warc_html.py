@@ -66,6 +66,50 @@ def test_damage_is_found(spark, odd_pages, tmp_path):
         warc.read_archives(spark, f"file://{tmp_path}/w").collect()
 
 
+def test_dates_are_utc(spark, odd_pages, tmp_path):
+    was = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        warc.write_archives(odd_pages.filter("page_id = 1"), f"file://{tmp_path}/w")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", was)
+    (data,) = [x for f in (tmp_path / "w").glob("part-*") if (x := gzip.decompress(f.read_bytes()))]
+    assert b"WARC-Date: 2020-01-01T00:00:01Z\r\n" in data
+
+
+def test_records_in_pieces():
+    """An archive's records, however its bytes are cut."""
+    rng = random.Random(1)
+    blocks = [bytes(rng.choice(b"ab\r\n") for _ in range(rng.randrange(60))) for _ in range(30)]
+    whole = b"".join(b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(b), b) for b in blocks)
+    for cut in (1, 3, 50, 10_000):
+        r = warc.Records("x")
+        got = [x for i in range(0, len(whole), cut) for x in r.feed(whole[i : i + cut])]
+        r.close()
+        assert [b for _, _, b in got] == blocks and all(whole[at:].startswith(b"WARC/1.1") for at, _, _ in got)
+    with pytest.raises(ValueError, match="ends within"):
+        list(r.feed(whole[:-2]))
+        r.close()
+
+
+def test_null_ids_against_sql(spark, odd_pages, tmp_path):
+    """A page without an id revisits the page with its payload, in SQL as well."""
+    odd_pages.filter("page_id IS NULL OR page_id <> 10").write.parquet(f"{tmp_path}/pages.parquet")
+    got = warc.op3_warc_index_merge(spark, str(tmp_path))
+    cur = duckdb.connect().execute(warc.OP3_SQL.replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'"))
+    names = [c[0] for c in cur.description]
+    assert Counter(cur.fetchall()) == Counter(tuple(r[n] for n in names) for r in got.collect())
+
+
+def test_large_pages(spark, tmp_path):
+    """Payloads of megabytes, with record separators in them."""
+    rows = [(i, f"http://big.example.org/{i % 3}", ("x" * 997 + "\r\n\r\n") * (2000 + i)) for i in range(6)]
+    pages = spark.createDataFrame([(*r, "h", "k", "a", "t") for r in rows], PAGES)
+    warc.write_archives(pages, f"file://{tmp_path}/w")
+    got = warc.merge_index(warc.read_archives(spark, f"file://{tmp_path}/w")).collect()
+    assert Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got) == expected(rows)
+
+
 def test_against_sql(spark, sf_dir):
     got = warc.op3_warc_index_merge(spark, sf_dir)
     cur = duckdb.connect().execute(warc.OP3_SQL.replace("FROM pages", f"FROM '{sf_dir}/pages.parquet'"))
