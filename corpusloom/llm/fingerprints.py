@@ -1,11 +1,16 @@
 """Document fingerprints by winnowing, DataFrame operations only.
 
-The k-grams are of five words. Their hashes roll over the text, the least hash
-of every window of eight is chosen, the rightmost of equals, and kept with its
-place: passages of k + w - 1 = 12 words that two texts share give both a common
-fingerprint. A hash and its place are one positive 64-bit number (40 bits of
-hash, then the place counted down), so one ``least`` picks the rightmost of
-the smallest and neighbouring windows with the same choice are one number.
+The k-grams are of five words. A gram's hash is the polynomial of a rolling
+hash, w0 * B^4 + w1 * B^3 + ... + w4 modulo a prime, over hashes of its words;
+each word is hashed once. Array functions keep no running state, so a gram is
+evaluated from the five word hashes it has rather than from the gram before;
+the value is that of the rolling update, which a test holds it against. The
+least hash of every window of eight is chosen, the rightmost of equals, and
+kept with its place: passages of k + w - 1 = 12 words that two texts share give
+both a common fingerprint. A hash and its place are one positive 64-bit number
+(31 bits of hash, then the place counted down from 2 ** 32), so one ``least``
+picks the rightmost of the smallest and neighbouring windows with the same
+choice are one number.
 """
 
 from __future__ import annotations
@@ -15,7 +20,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import materialize, table
 
 K, WINDOW = 5, 8
-PLACES = 23  # bits for the place; later words share places modulo 2 ** 23
+PLACES = 32  # bits for the place: more than an array has
+PRIME, BASE = (1 << 31) - 1, 1_000_003
 
 
 def with_words(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -30,20 +36,29 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     gram of itself, the empty text has none. Each step is a column of its own,
     for an array that a later step looks into many times.
     """
-    w, g = f"_{out}_w", f"_{out}_g"
+    w, h, g = f"_{out}_w", f"_{out}_h", f"_{out}_g"
     df = with_words(df, text, w)
+    small = lambda x: F.pmod(F.xxhash64(x), F.lit(PRIME))  # noqa: E731  products of two stay within 64 bits
+    df = df.withColumn(h, F.transform(w, small))
     mask = (1 << PLACES) - 1
-    pick = lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 24), PLACES).bitwiseOR(F.lit(mask).cast("long") - i.cast("long").bitwiseAND(F.lit(mask).cast("long")))
-    words = F.col(w)
-    rolled = F.transform(F.sequence(F.lit(0), F.size(words) - K), lambda i: pick(F.xxhash64(*[F.get(words, i + k) for k in range(K)]), i))
-    few = F.array(pick(F.xxhash64(F.concat_ws(" ", words)), F.lit(0)))
-    bare = F.array(pick(F.xxhash64(F.col(text)), F.lit(0)))
+    pick = lambda x, i: F.shiftleft(x, PLACES).bitwiseOR(F.lit(mask) - i.cast("long"))
+    words, hashed = F.col(w), F.col(h)
+
+    def gram(i: Column) -> Column:
+        x = F.get(hashed, i)
+        for k in range(1, K):
+            x = (x * F.lit(BASE) + F.get(hashed, i + k)) % F.lit(PRIME)
+        return x
+
+    rolled = F.transform(F.sequence(F.lit(0), F.size(words) - K), lambda i: pick(gram(i), i))
+    few = F.array(pick(small(F.concat_ws(" ", words)), F.lit(0)))
+    bare = F.array(pick(small(F.col(text)), F.lit(0)))
     none = F.array().cast("array<bigint>")
     df = df.withColumn(g, F.when(F.size(words) >= K, rolled).when(F.size(words) > 0, few).when(F.col(text) != "", bare).otherwise(none))
     grams = F.col(g)
     windows = F.slice(grams, F.lit(1), F.greatest(F.lit(1), F.size(grams) - WINDOW + 1))
     least = F.transform(windows, lambda x, i: F.least(x, *[F.get(grams, i + k) for k in range(1, WINDOW)]))
-    return df.withColumn(out, F.array_distinct(least)).drop(w, g)
+    return df.withColumn(out, F.array_distinct(least)).drop(w, h, g)
 
 
 def shown(numbers: Column) -> Column:

@@ -33,24 +33,37 @@ def base_secrets(text: str | None) -> tuple[list[int], str]:
 # op2
 
 
-def chain_hash(words: list[str]) -> int:
-    """Spark's xxhash64 over several strings: each hash seeds the next."""
-    h = 42
-    for w in words:
-        h = xxhash.xxh64(w.encode("utf-8"), seed=h).intdigest()
-    return h
+PRIME, BASE = (1 << 31) - 1, 1_000_003
+
+
+def word_hash(word: str) -> int:
+    """Spark's xxhash64 of a string, as a residue."""
+    h = xxhash.xxh64(word.encode("utf-8"), seed=42).intdigest()
+    return (h - (1 << 64) if h >> 63 else h) % PRIME
+
+
+def rolling(words: list[str], k: int) -> list[int]:
+    """Hashes of all k-grams, each from the one before."""
+    w = [word_hash(x) for x in words]
+    h = 0
+    for x in w[:k]:
+        h = (h * BASE + x) % PRIME
+    out = [h]
+    for gone, come in zip(w, w[k:]):
+        h = ((h - gone * pow(BASE, k - 1, PRIME)) * BASE + come) % PRIME
+        out.append(h)
+    return out
 
 
 def winnow(text: str, k: int = 5, window: int = 8) -> list[tuple[int, int]]:
-    """(40-bit hash, place) chosen in each window, the rightmost of the smallest."""
+    """(hash, place) chosen in each window, the rightmost of the smallest."""
     words = [w for w in regex.split(r"[^\p{L}\p{M}\p{N}]+", text.lower()) if w]
     if len(words) >= k:
-        hashes = [chain_hash(words[i : i + k]) for i in range(len(words) - k + 1)]
+        hashes = rolling(words, k)
     elif words:
-        hashes = [chain_hash([" ".join(words)])]
+        hashes = [word_hash(" ".join(words))]
     else:
-        hashes = [chain_hash([text])] if text else []
-    hashes = [h >> 24 for h in hashes]
+        hashes = [word_hash(text)] if text else []
     out = []
     for i in range(max(1, len(hashes) - window + 1) if hashes else 0):
         part = range(i, min(i + window, len(hashes)))
