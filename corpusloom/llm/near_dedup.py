@@ -25,13 +25,14 @@ edits that stand together break fewer shingles and are missed less.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from xxhash import xxh3_64_intdigest
 
 from .common import forget, materialize, small_batches, table
 from .components import components
@@ -45,7 +46,7 @@ ROUNDS = ((0, 2), (2, SKETCHES))
 SALTS = 32
 U = np.uint64
 _WORD = re.compile(r"\w+").findall
-_SEEDS = np.random.default_rng(20240607).integers(1, 1 << 63, SKETCHES, dtype=np.int64).astype(U)
+_SEEDS = np.random.default_rng(20240607).integers(1, 1 << 63, SKETCHES, dtype=np.int64).astype(U) | U(1)
 _MIX = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93), U(0xFF51AFD7ED558CCD)]
 
 
@@ -55,20 +56,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
-class Words:
-    """64-bit word hashes; the memo starts anew when full, which changes no hash."""
-
-    def __init__(self, size: int = 200_000):
-        self.memo: dict[str, int] = {}
-        self.size = size
-
-    def of(self, text: str) -> np.ndarray:
-        words, memo = _WORD(text.lower()), self.memo
-        if len(memo) > self.size:
-            memo.clear()
-        for w in set(words) - memo.keys():
-            memo[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        return np.fromiter(map(memo.__getitem__, words), U, len(words))
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of a text's words, in order."""
+    words = _WORD(text.lower())
+    return np.fromiter(map(xxh3_64_intdigest, words), U, len(words))
 
 
 def kmers(h: np.ndarray) -> np.ndarray:
@@ -100,8 +91,11 @@ def labelled(hashes: np.ndarray) -> np.ndarray:
 def sketches(shingles: np.ndarray) -> np.ndarray:
     """A number for each sketch, of its minima of the labelled k-mers in the order of the text."""
     marks = labelled(shingles)
-    v = mix(marks[None, :] ^ _SEEDS[:, None])
-    at = np.argpartition(v, MINIMA - 1, axis=1)[:, :MINIMA] if len(marks) > MINIMA else np.argsort(v, axis=1)
+    v = marks[None, :] * _SEEDS[:, None]  # marks are mixed and seeds odd: another order of them for each
+    at = np.empty((SKETCHES, min(MINIMA, len(marks))), np.int64)
+    for k in range(at.shape[1]):
+        at[:, k] = v.argmin(axis=1)
+        v[np.arange(SKETCHES), at[:, k]] = ~U(0)
     out = _SEEDS.copy()
     for m in marks[np.sort(at, axis=1)].T:
         out = out * U(0x9E3779B97F4A7C15) + m
@@ -171,13 +165,12 @@ def sketched(docs: DataFrame) -> DataFrame:
     """(node, n, sketches, words) of each text with words, nodes being 128-bit digests; copies repeat."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words()
         for batch in batches:
             seen: set[bytes] = set()
             out: tuple[list, ...] = ([], [], [], [])
             room = 1 << 22
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if node not in seen and len(h := known.of(text)):
+                if node not in seen and len(h := word_hashes(text)):
                     seen.add(node)
                     for c, x in zip(out, (node, len(h), sketches(kmers(h)).view(np.int64), h.tobytes())):
                         c.append(x)

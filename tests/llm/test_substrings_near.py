@@ -220,8 +220,7 @@ def test_blocks_verify_as_pairs_do():
         for _ in range(rng.randrange(3)):
             t = t[:-1] + [rng.choice(words)] if rng.random() < 0.5 else t[len(t) // 2 :] + t[: len(t) // 2]
         texts.append(" ".join(t))
-    known = near_dedup.Words()
-    rows = [(bytes([i]), bytes([i]), known.of(t)) for i, t in enumerate(dict.fromkeys(texts))]
+    rows = [(bytes([i]), bytes([i]), near_dedup.word_hashes(t)) for i, t in enumerate(dict.fromkeys(texts))]
     texts = list(dict.fromkeys(texts))
     link = [(i, j) for i in range(len(rows)) for j in range(i) if brute.alike(texts[i], texts[j])]
     assert len(link) > 10
