@@ -62,6 +62,11 @@ def word_hashes(text: str) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, words), U, len(words))
 
 
+def unpacked(words: bytes) -> np.ndarray:
+    """Word hashes as they are shipped, of 32 bits: less than the text, and two words of a pair of texts seldom share one."""
+    return np.frombuffer(words, np.uint32).astype(U)
+
+
 def kmers(h: np.ndarray) -> np.ndarray:
     """Hashes of all five-word shingles of a text's words; a shorter text is one shingle, a text without words has none."""
     n = len(h) - K + 1
@@ -172,7 +177,7 @@ def sketched(docs: DataFrame) -> DataFrame:
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if node not in seen and len(h := word_hashes(text)):
                     seen.add(node)
-                    for c, x in zip(out, (node, len(h), sketches(kmers(h)).view(np.int64), h.tobytes())):
+                    for c, x in zip(out, (node, len(h), sketches(kmers(h)).view(np.int64), h.astype(np.uint32).tobytes())):
                         c.append(x)
                     room -= len(h)
                     if room < 0:
@@ -235,9 +240,9 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
             out = []
             for a, b, wa, wb in zip(*(c.to_pylist() for c in batch.columns)):
                 if a != last:
-                    ha, last = np.frombuffer(wa, U), a
+                    ha, last = unpacked(wa), a
                     la = labelled(ha)
-                hb = np.frombuffer(wb, U)
+                hb = unpacked(wb)
                 if 5 * common_words(la, labelled(hb)) >= 4 * max(len(ha), len(hb)) and alike(ha, hb):
                     out.append((a, b))
             if out:
@@ -333,7 +338,7 @@ def settled(members: DataFrame, words: DataFrame) -> DataFrame:
                     if held:
                         yield from links()
                     held, last = [], tuple(row[:4])
-                held.append((*row[4:], np.frombuffer(raw, U)))
+                held.append((*row[4:], unpacked(raw)))
         if held:
             yield from links()
 
