@@ -16,14 +16,18 @@ ALWAYS_LARGE = frozenset({"nl"})
 #: Our code -> a provider's.
 PROVIDER_CODES = {
     "wikipedia": {"zh-Hans": "zh", "zh-Hant": "zh", "nb": "no", "fil": "tl"},
+    # fixed values: the providers' own codes
+    "google": {"en": "eng", "zh-Hans": "chi_sim", "fr": "fre", "de": "ger", "he": "heb", "it": "ita", "ru": "rus", "es": "spa"},
     "fasttext": {"zh-Hans": "zh", "zh-Hant": "zh", "pt-BR": "pt", "pt-PT": "pt", "zh-x-oversimplified": "zh"},
 }
 #: (dataset, our code) -> OPUS's code; datasets that aren't listed are refused.
 OPUS_CODES = {
-    "OpenSubtitles": {"pt-BR": "pt_br", "zh-Hans": "zh_cn", "zh-Hant": "zh_tw", "nb": "no"},
-    "GlobalVoices": {"zh-Hans": "zhs", "zh-Hant": "zht"},
-    "Tatoeba": {"zh-Hans": "cmn", "nb": "nb_NO"},
-    "Europarl": {}, "ParaCrawl": {}, "MultiUN": {}, "UNPC": {}, "EUBookshop": {}, "JW300": {}, "SETIMES": {}, "GNOME": {}, "KDE4": {},
+    # fixed values: the datasets' own codes
+    "Tatoeba": {"zh-Hans": "cmn", "fa": "pes", "fil": "tl", "sh": "sr"},
+    "GlobalVoices": {"ja": "jp", "zh-Hant": "zht", "zh-Hans": "zhs", "sh": "sr"},
+    "OpenSubtitles2018": {"pt-PT": "pt", "pt-BR": "pt_br", "zh-Hans": "zh_cn", "zh-Hant": "zh_tw", "nb": "no"},
+    "Europarl": {"pt-PT": "pt"},
+    "ParaCrawl": {}, "MultiUN": {}, "UNPC": {}, "EUBookshop": {}, "JW300": {}, "SETIMES": {}, "GNOME": {}, "KDE4": {},
 }
 
 

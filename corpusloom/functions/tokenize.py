@@ -10,6 +10,8 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, functions as F
 
+from . import text as X
+
 PLAIN = r"[\p{L}\p{M}\p{N}]+"
 _LETTER, _DIGIT = r"[\p{L}\p{M}]", r"\d"
 _EMOJI = r"\p{Extended_Pictographic}(?:\ufe0f|\p{Emoji_Modifier}|\u200d\p{Extended_Pictographic})*|\p{Regional_Indicator}{2}"
@@ -102,7 +104,7 @@ def has_content(token: Column) -> Column:
 
 def lossy_tokens(term: Column) -> Column:
     """Plain tokens of a count list's terms, digits smashed; marks inside numbers kept."""
-    found = F.regexp_extract_all(F.lower(term), F.lit(r"\d[\d.,]*\d|[\p{L}\p{M}\p{N}]+(?:['’.·:][\p{L}\p{M}]+)*|\p{So}"), F.lit(0))
+    found = F.regexp_extract_all(X.fold_case(term), F.lit(r"\d[\d.,]*\d|[\p{L}\p{M}\p{N}]+(?:['’.·:][\p{L}\p{M}]+)*|\p{So}"), F.lit(0))
     return F.transform(found, smash_digits)
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as X
+from ..sources.shared import written
 
 
 def numbered(df: DataFrame, *order: str, out: str = "pos") -> DataFrame:
@@ -15,7 +16,7 @@ def numbered(df: DataFrame, *order: str, out: str = "pos") -> DataFrame:
     Rows are dealt by ranges of the order and numbered in them; a row for each
     range carries the offsets.
     """
-    dealt = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()).persist()
+    dealt = written(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()), "numbered")
     sizes = dealt.groupBy("_pid").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

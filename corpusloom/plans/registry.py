@@ -205,10 +205,9 @@ def strip_quotes(spark, sf_dir):
     return t(spark, sf_dir, "part").select("p_partkey", X.strip_quotes(F.concat(F.lit("'"), F.col("p_name"), F.lit(" '"))).alias("word"))
 
 
-@query(r"SELECT doc_id, md5(regexp_replace(text, '@\S+', '', 'g')) AS digest FROM documents WHERE contains(text, '@')")
+@query(r"SELECT doc_id, md5(regexp_replace(text || ' @' || source || ' end', '@[^\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', '', 'g')) AS digest FROM documents")
 def strip_handles(spark, sf_dir):
-    docs = t(spark, sf_dir, "documents").filter(F.col("text").contains("@"))
-    return docs.select("doc_id", F.md5(F.regexp_replace("text", r"@\S+", "")).alias("digest"))
+    return t(spark, sf_dir, "documents").select("doc_id", F.md5(X.strip_handles(F.concat("text", F.lit(" @"), "source", F.lit(" end")))).alias("digest"))
 
 
 @query(r"SELECT page_id, regexp_replace('see ' || url || ' now', 'https?://[^ ]*', '', 'g') AS text FROM pages")
@@ -226,9 +225,9 @@ def drop_tab_prefix(spark, sf_dir):
     return t(spark, sf_dir, "events").select("event_id", X.drop_tab_prefix(F.concat_ws("\t", "event_type", "props", F.lit("x"))).alias("text"))
 
 
-@query(r"SELECT doc_id, length(regexp_replace(text || chr(10) || chr(9) || ' ', '\s+$', '')) AS n FROM documents")
+@query(r"SELECT doc_id, md5(regexp_replace(text || chr(10) || chr(9) || ' ', '\s+$', '')) AS digest FROM documents")
 def rstrip(spark, sf_dir):
-    return t(spark, sf_dir, "documents").select("doc_id", F.length(X.rstrip(F.concat("text", F.lit("\n\t ")))).cast("bigint").alias("n"))
+    return t(spark, sf_dir, "documents").select("doc_id", F.md5(X.rstrip(F.concat("text", F.lit("\n\t ")))).alias("digest"))
 
 
 @query("SELECT p_partkey, string_split(replace(p_name, ' ', '_') || '_NOUN', '_')[1] AS one, lower(p_brand) || ' ' || p_name AS many FROM part")
@@ -268,11 +267,12 @@ def language_tag_filter(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", X.language_tag_filter(line, "en").alias("text"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_nationkey % 5 = 0 THEN [0] ELSE [c_nationkey, 1] END[1] AS i, CASE WHEN c_nationkey % 5 = 0 THEN 0 ELSE c_nationkey + 1 END AS j FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_nationkey % 5 = 0 THEN '0-0' ELSE c_nationkey || '-' || (c_nationkey + 1) || ' 1-1' END AS links FROM customer")
 def alignment_links(spark, sf_dir):
     n = F.col("c_nationkey")
     line = F.when(n % 5 == 0, " ").otherwise(F.concat(n.cast("string"), F.lit("-"), (n + 1).cast("string"), F.lit(" 1-1")))
-    return t(spark, sf_dir, "customer").select("c_custkey", X.alignment(line)[0].alias("x")).select("c_custkey", "x.i", "x.j")
+    links = F.transform(X.alignment(line), lambda x: F.concat(x.i.cast("string"), F.lit("-"), x.j.cast("string")))
+    return t(spark, sf_dir, "customer").select("c_custkey", F.array_join(links, " ").alias("links"))
 
 
 @query(r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS a, regexp_extract_all(text, '[0-9]+') AS b FROM documents),

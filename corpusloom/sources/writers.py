@@ -27,7 +27,7 @@ def count_file(counts: DataFrame, total: DataFrame, path: str) -> None:
     head = total.select(F.lit(0).alias("k"), F.lit(None).cast("long").alias("count"), F.lit("").alias("t"), F.concat(F.lit("__total__\t"), F.col("total").cast("string")).alias("value"))
     rows = counts.select(F.lit(1).alias("k"), "count", F.col(tie).alias("t"), F.concat_ws("\t", "token", F.col("count").cast("string")).alias("value"))
     if tie == "first_seen":
-        head = head.withColumn("t", F.lit(None).cast("long"))
+        head = head.withColumn("t", F.lit(None).cast(counts.schema[tie].dataType))
     head.union(rows).orderBy("k", F.desc("count"), "t").select("value").coalesce(1).write.text(path)
 
 

@@ -118,7 +118,7 @@ def test_catalog():
     assert catalog.supported(c) == ["en"]
     assert catalog.large(c) == ["en", "nl"]
     assert catalog.expand("{s}/{l}", s="ab", l=["x", "y"]) == ["a/x", "a/y", "b/x", "b/y"]
-    assert catalog.opus_pair("OpenSubtitles", "zh-Hans", "en") == ("en-zh_cn", True)
+    assert catalog.opus_pair("OpenSubtitles2018", "zh-Hans", "en") == ("en-zh_cn", True)
     assert [catalog.reddit_file(m) for m in ("2017-11", "2018-10", "2018-11")] == ["RC_2017-11.bz2", "RC_2018-10.xz", "RC_2018-11.zst"]
     with pytest.raises(ValueError):
         catalog.opus_code("nothing", "en")
@@ -156,3 +156,24 @@ def test_sentencepiece(spark):
     ids = K.sp_encode(rows, model)
     assert [r["text"] for r in K.sp_decode(ids, model).collect()] == ["Hello there", ""]
     assert K.sp_vocabulary(spark, model).count() == 32_000 - 3
+
+
+def test_provider_codes():
+    assert [catalog.opus_code("Tatoeba", x) for x in ("fa", "fil", "sh", "nb")] == ["pes", "tl", "sr", "nb"]
+    assert catalog.opus_code("GlobalVoices", "ja") == "jp" and catalog.opus_code("Europarl", "pt-PT") == catalog.opus_code("OpenSubtitles2018", "pt-PT") == "pt"
+    assert catalog.provider_code("google", "zh-Hans") == "chi_sim" and catalog.provider_code("google", "pl") == "pl"
+
+
+def test_emphasis(spark):
+    """Balanced marks that don't touch words outside them go; of unequal runs as many as both have."""
+    cases = [("*", "**a** and *b*", "a and b"), ("*", "x*a*", "x*a*"), ("*", "**a*", "*a"), ("*", "*a**", "a*"), ("*", "**a**b", "*a*b"), ("*", "*a*b", "*a*b"), ("*", "*a*b*", "*a*b*"), ("*", "x**a**", "x*a*"),
+             ("*", "2 * 3 * 4", "2  3  4"), ("_", "__a__", "a"), ("_", "__a_", "__a_"), ("_", "snake_case_name", "snake_case_name"), ("~", "~~x~~ ~y~", "x y"), ("*", "", ""), ("*", "***", "***"), ("_", "é_a_", "é_a_")]
+    for mark in "*_~":
+        own = [(t, w) for m, t, w in cases if m == mark]
+        rows = spark.createDataFrame(own, "text string, want string").select("text", "want", X.unwrap_emphasis(F.col("text"), mark).alias("got")).collect()
+        assert [(r["text"], r["got"]) for r in rows] == [(r["text"], r["want"]) for r in rows]
+
+
+def test_lossy_tokens_fold_case(spark):
+    got = spark.range(1).select(T.lossy_tokens(F.lit("Heißen ΣΟΦΟΣ σοφός STRASSE")).alias("x")).first()["x"]
+    assert got == [w.casefold() for w in "heißen ΣΟΦΟΣ σοφός STRASSE".split()]

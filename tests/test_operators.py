@@ -177,3 +177,11 @@ def test_streaming(spark, tmp_path):
     stream = spark.readStream.schema("token string").parquet(f"file://{tmp_path}/in")
     got = ST.drain(ST.running_counts(stream, []), "running_counts_test")
     assert {r["token"]: r["count"] for r in got.collect()} == {"a": 2, "b": 1}
+
+
+def test_count_file_by_first_place(spark, tmp_path):
+    """Ties stand in the order in which their tokens were first seen."""
+    rows = [(0, ["b", "a", "c"]), (1, ["c", "a", "b", "x"]), (2, ["b"])]
+    df = spark.createDataFrame(rows, "pos long, tokens array<string>").repartition(2)
+    O.count_file(C.count_tokens(df, []), spark.createDataFrame([(8,)], "total long"), f"file://{tmp_path}/counts")
+    assert [r["value"] for r in spark.read.text(f"file://{tmp_path}/counts").collect()] == ["__total__\t8", "b\t3", "a\t2", "c\t2"]
