@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -67,6 +69,33 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+@contextmanager
+def bloom_filtered(spark: SparkSession) -> Iterator[None]:
+    """Joins that are planned inside drop rows of a wide side by a Bloom filter of the other's keys before they shuffle them.
+
+    Spark makes such filters itself, but by default only for sides of 10 GB
+    and a million keys. The filter has 8 MB at any size; keys beyond some ten
+    million weaken it, and then more rows are shuffled with the same result.
+    The narrow side has to be a scan under a comparison.
+    """
+    name = "spark.sql.optimizer.runtime.bloomFilter."
+    wanted = {
+        "enabled": "true",
+        "applicationSideScanSizeThreshold": "0",
+        "creationSideThreshold": str(1 << 50),
+        "expectedNumItems": "4000000",
+        "numBits": str(1 << 26),
+    }
+    before = {k: spark.conf.get(name + k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(name + k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(name + k, v)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import forget, materialize, small_batches, table
+from .common import bloom_filtered, forget, materialize, small_batches, table
 from .components import components
 
 K, SIMILAR, SKETCHES, MINIMA = 5, 0.8, 24, 2
@@ -201,9 +201,11 @@ def grouped(texts: DataFrame) -> DataFrame:
     rows = once.select("node", "n", "s", F.posexplode("s").alias("band", "sketch"))
     rows = rows.select("band", "sketch", F.get("s", F.pmod(F.col("band") + 1, F.lit(SKETCHES))).alias("after"), "node", "n")
     rows = materialize(rows, "sketches")
-    groups = rows.groupBy("band", "sketch").agg(F.min("node").alias("least"), F.count("*").alias("size")).filter("size > 1").drop("size")
-    out = materialize(rows.join(materialize(groups, "groups"), ["band", "sketch"]), "shared")
-    forget(rows)
+    groups = rows.groupBy("band", "sketch").agg(F.min("node").alias("least"), F.count("*").alias("size")).filter("size > 1")
+    groups = materialize(groups, "groups")
+    with bloom_filtered(texts.sparkSession):  # sketches are of 64 bits and seeded by their band, so they are a key without it
+        out = materialize(rows.join(groups.filter("size > 1").select("sketch", "least"), "sketch").select("band", "sketch", "after", "node", "n", "least"), "shared")
+    forget(rows, groups)
     return out
 
 
@@ -350,8 +352,10 @@ def labels(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     texts = sketched(docs)
     shared = grouped(texts)
-    sharing = materialize(shared.select("node").distinct(), "sharing")
-    words = materialize(texts.join(sharing, "node").groupBy("node").agg(F.first("n").alias("n"), F.first("words").alias("words")), "words")
+    sharing = materialize(shared.groupBy("node").agg(F.count("*").alias("times")), "sharing")
+    with bloom_filtered(docs.sparkSession):  # few texts share a sketch, and words are most of what could be shipped
+        met = texts.join(sharing.filter("times > 0").select("node"), "node")
+        words = materialize(met.groupBy("node").agg(F.first("n").alias("n"), F.first("words").alias("words")), "words")
     forget(texts)
     found = materialize(components(verified(candidates(shared), words)), "labels")
     left = materialize(opened(shared, found).select("band", "sketch", "node", "n"), "open")
