@@ -40,7 +40,7 @@ TOKENS = r"SELECT doc_id, lang, source, unnest(regexp_extract_all(lower(text), '
 COUNTED = rf"SELECT lang, source, token, count(*) AS n FROM ({TOKENS}) GROUP BY ALL HAVING count(*) >= 2 AND regexp_matches(token, '[\p{{L}}\p{{N}}\p{{So}}]')"
 _SMASH = r"CASE WHEN regexp_matches(w, '\d[\d.,]') THEN regexp_replace(w, '\d', '0', 'g') ELSE w END"
 RECOUNTED = rf"""SELECT lang, source, {_SMASH} AS token, sum(n) AS n FROM (
-  SELECT lang, source, n, unnest(regexp_extract_all(lower(token), '\d[\d.,]*\d|[\p{{L}}\p{{M}}\p{{N}}]+(?:[''’.·:][\p{{L}}\p{{M}}]+)*|\p{{So}}')) AS w FROM ({COUNTED})) GROUP BY ALL"""
+  SELECT lang, source, n, unnest(regexp_extract_all(replace(replace(lower(token), 'ß', 'ss'), 'ς', 'σ'), '\d[\d.,]*\d|[\p{{L}}\p{{M}}\p{{N}}]+(?:[''’.·:][\p{{L}}\p{{M}}]+)*|\p{{So}}')) AS w FROM ({COUNTED})) GROUP BY ALL"""
 MERGED = rf"""
   lists AS (SELECT lang, count(DISTINCT source) AS k FROM documents GROUP BY lang),
   counts AS ({RECOUNTED}),
@@ -65,7 +65,7 @@ def token_totals(spark, sf_dir):
 
 
 PART_TERMS = "SELECT p_type AS source, p_name || ' ' || p_brand AS term, CAST(sum(l_quantity) AS BIGINT) AS count FROM part JOIN lineitem ON p_partkey = l_partkey GROUP BY ALL"
-PART_TOKENS = rf"SELECT source, count, {_SMASH} AS token FROM (SELECT source, count, unnest(regexp_extract_all(lower(term), '\d[\d.,]*\d|[\p{{L}}\p{{M}}\p{{N}}]+')) AS w FROM ({PART_TERMS}))"
+PART_TOKENS = rf"SELECT source, count, {_SMASH} AS token FROM (SELECT source, count, unnest(regexp_extract_all(replace(replace(lower(term), 'ß', 'ss'), 'ς', 'σ'), '\d[\d.,]*\d|[\p{{L}}\p{{M}}\p{{N}}]+')) AS w FROM ({PART_TERMS}))"
 
 
 def part_terms(spark, sf_dir) -> DataFrame:

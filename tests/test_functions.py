@@ -177,3 +177,10 @@ def test_emphasis(spark):
 def test_lossy_tokens_fold_case(spark):
     got = spark.range(1).select(T.lossy_tokens(F.lit("Heißen ΣΟΦΟΣ σοφός STRASSE")).alias("x")).first()["x"]
     assert got == [w.casefold() for w in "heißen ΣΟΦΟΣ σοφός STRASSE".split()]
+
+
+def test_fold_case_is_full_folding_on_the_test_texts(spark, sf_dir):
+    """Held against str.casefold, whose letters the SQL spells out too."""
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("text is not null").select("text", X.fold_case(F.col("text")).alias("got")).collect()
+    assert any("ß" in r["text"] for r in rows)
+    assert [r["got"] for r in rows if r["got"] != r["text"].casefold()] == []
