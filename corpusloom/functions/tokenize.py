@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import pandas as pd
@@ -97,15 +98,20 @@ def smash_digits(token: Column) -> Column:
     return F.array_join(F.transform(F.split(runs, "\u0001"), lambda p, i: F.when(i % 2 == 1, F.regexp_replace(p, r"\d", "0")).otherwise(p)), "")
 
 
+def smash_whole_tokens(token: Column) -> Column:
+    """All digits of a token that has such a run to 0, single ones too."""
+    return F.when(token.rlike(r"\d[\d.,]"), F.regexp_replace(token, r"\d", "0")).otherwise(token)
+
+
 def has_content(token: Column) -> Column:
     """Letters, digits or symbols such as notes and emoji; punctuation alone doesn't count."""
     return token.rlike(r"[\p{L}\p{N}\p{So}]")
 
 
-def lossy_tokens(term: Column) -> Column:
+def lossy_tokens(term: Column, smash: Callable[[Column], Column] = smash_digits) -> Column:
     """Plain tokens of a count list's terms, digits smashed; marks inside numbers kept."""
     found = F.regexp_extract_all(X.fold_case(term), F.lit(r"\d[\d.,]*\d|[\p{L}\p{M}\p{N}]+(?:['’.·:][\p{L}\p{M}]+)*|\p{So}"), F.lit(0))
-    return F.transform(found, smash_digits)
+    return F.transform(found, smash)
 
 
 def casefold(text: Column) -> Column:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as X
-from ..functions.tokenize import has_content, lossy_tokens
+from ..functions.tokenize import has_content, lossy_tokens, smash_digits
 
+Smash = Callable[[Column], Column]
 BAD = ("", "¶", "￼", "�")
 
 
@@ -35,18 +38,18 @@ def count_totals(df: DataFrame, keys: list[str], tokens: str = "tokens") -> Data
     return df.groupBy(*keys).agg(F.sum(F.size(good_tokens(F.col(tokens)))).cast("bigint").alias("total"))
 
 
-def recount(rows: DataFrame, keys: list[str], term: str = "term", count: str = "count") -> DataFrame:
+def recount(rows: DataFrame, keys: list[str], term: str = "term", count: str = "count", smash: Smash = smash_digits) -> DataFrame:
     """(keys, token, count): every token of a term gets the term's whole count; punctuation is left out."""
-    return recounted(rows, keys, term, count).groupBy(*keys, "token").agg(F.sum("count").alias("count")).filter(has_content(F.col("token")))
+    return recounted(rows, keys, term, count, smash).groupBy(*keys, "token").agg(F.sum("count").alias("count")).filter(has_content(F.col("token")))
 
 
 def recount_totals(rows: DataFrame, keys: list[str], term: str = "term", count: str = "count") -> DataFrame:
     return recounted(rows, keys, term, count).groupBy(*keys).agg(F.sum("count").alias("total"))
 
 
-def recounted(rows: DataFrame, keys: list[str], term: str, count: str) -> DataFrame:
+def recounted(rows: DataFrame, keys: list[str], term: str, count: str, smash: Smash = smash_digits) -> DataFrame:
     kept = rows.filter(~F.col(term).startswith("__total__"))
-    return kept.select(*keys, F.col(count).cast("bigint").alias("count"), F.explode(lossy_tokens(F.col(term))).alias("token"))
+    return kept.select(*keys, F.col(count).cast("bigint").alias("count"), F.explode(lossy_tokens(F.col(term), smash)).alias("token"))
 
 
 def merge_counts(*lists: DataFrame, key: str = "term") -> DataFrame:
