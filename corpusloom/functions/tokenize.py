@@ -92,6 +92,16 @@ def tokens(text: Column, lang: Column, punctuation: bool = False, mojibake: bool
     return run(text, lang)
 
 
+def token_text(text: Column, lang: Column, punctuation: bool = False, mojibake: bool = False) -> Column:
+    """The tokens joined by spaces, joined text by text: a batch's tokens are never all held."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, langs: pd.Series) -> pd.Series:
+        return pd.Series([" ".join(tokenize(clean(t, mojibake), x or "und", punctuation)) if t is not None else None for t, x in zip(texts, langs)], dtype="object")
+
+    return run(text, lang)
+
+
 def smash_digits(token: Column) -> Column:
     """Digits of runs of two characters or more, separators included, to 0; single digits stay."""
     runs = F.regexp_replace(token, r"(\d[\d.,]+)", "\u0001$1\u0001")

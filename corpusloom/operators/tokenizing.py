@@ -8,23 +8,26 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.langid import tag_distance
-from ..functions.tokenize import tokens
+from ..functions.tokenize import token_text
+from ..sources.shared import small_batches
 
 
 def tokenize_lines(lines: DataFrame, lang: str, punctuation: bool = False, mojibake: bool = False, detect: Callable[[Column], Column] | None = None) -> DataFrame:
     """(text): tokens joined by spaces; with a detector only lines in the language or a close one. A line without tokens stays, empty."""
+    small_batches(lines.sparkSession)
     rows = lines
     if detect is not None:
         near = F.udf(lambda d: tag_distance(d, lang) < 10, "boolean")
         langs = rows.withColumn("_lang", detect(F.col("text")))
         rows = langs.filter(near(F.col("_lang"))).drop("_lang")
-    return rows.select(F.array_join(tokens(F.col("text"), F.lit(lang), punctuation, mojibake), " ").alias("text"))
+    return rows.select(token_text(F.col("text"), F.lit(lang), punctuation, mojibake).alias("text"))
 
 
 def tokenize_by_language(tagged: DataFrame, languages: list[str]) -> DataFrame:
     """(lang, text) of the languages asked for, punctuation as tokens."""
+    small_batches(tagged.sparkSession)
     kept = tagged.filter(F.col("lang").isin(languages))
-    return kept.select("lang", F.array_join(tokens(F.col("text"), F.col("lang"), True), " ").alias("text"))
+    return kept.select("lang", token_text(F.col("text"), F.col("lang"), True).alias("text"))
 
 
 def sp_encode(lines: DataFrame, model: str, column: str = "text") -> DataFrame:

@@ -7,6 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows and bytes of texts that a Python worker gets at once.
+ARROW_ROWS, ARROW_BYTES = 4096, 1 << 22
+
+
+def small_batches(spark: SparkSession) -> None:
+    """One size for all operators, as plans read it when they run: a worker's memory doesn't grow with the files."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
 
 def shared_dir(spark: SparkSession) -> str:
     """What spark.checkpoint.dir names; a folder of our own for a local master alone, as executors of a cluster don't share one."""

@@ -86,3 +86,15 @@ def test_word_alignment_in_chunks(monkeypatch):
             totals[done] = dict(zip(task.words, sums))
         found.append((list(totals[0].values()) + list(totals[1].values()), best.tolist()))
     assert np.allclose(found[0][0], found[1][0]) and found[0][1] == found[1][1]
+
+
+def test_full_tokens_holds_one_text_at_a_time(spark):
+    """Rows go to Python in small batches and come back as text, not as lists of tokens."""
+    from corpusloom.operators import tokenizing as K
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    rows = spark.createDataFrame([("en", "One, two."), ("fr", None), ("fr", "l'eau")], "lang string, text string")
+    got = K.tokenize_by_language(rows, ["en", "fr"])
+    assert [r["text"] for r in got.collect()] == ["one , two .", None, "l eau"]
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 4096
+    assert "array_join" not in got._jdf.queryExecution().optimizedPlan().toString()
