@@ -98,3 +98,28 @@ def test_full_tokens_holds_one_text_at_a_time(spark):
     assert [r["text"] for r in got.collect()] == ["one , two .", None, "l eau"]
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 4096
     assert "array_join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_detection_over_arrays(spark, sf_dir):
+    """Models and languages as the plain form has them, text by text; a filter on the language doesn't detect again."""
+    from collections import Counter as Count
+
+    from pyspark.sql import functions as F
+
+    from corpusloom.functions import langid
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
+    models = langid.train(docs)
+    low = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{M}]+", " ")), F.lit(" "))
+    counts = {}
+    for r in docs.select("lang", low.alias("t")).filter("t is not null").collect():
+        counts.setdefault(r["lang"], Count()).update(r["t"][i : i + n] for n in (2, 3) for i in range(len(r["t"]) - n + 1))
+    for lang, found in counts.items():
+        top = sorted(found.items(), key=lambda x: (-x[1], x[0]))[: langid.FEATURES]
+        assert [g for g in models.logs[lang]] == [g for g, _ in top]
+        assert models.ranks[lang] == {g: i for i, g in enumerate([g for g, _ in top if len(g) == 3][: langid.PROFILE])}
+    texts = [r["text"] or "" for r in docs.collect()][:150] + ["", " ", "a", "1 2 3", "Ünï \U00010400x", "ΑΣ ΟΔΟΣ. İç"]
+    assert models.detect_all(texts) == [models.checked(t)[0] if t else "und" for t in texts]
+    assert langid.Models().detect_all(["x"]) == ["und"]
+    plan = docs.withColumn("x", langid.detect(F.col("text"), models)).filter("x <> 'und'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
