@@ -61,8 +61,13 @@ def clean(text: str, mojibake: bool = False) -> str:
     """Targeted fixes, or all of them with ``mojibake``."""
     if mojibake:
         text = fix_mojibake(text)
-    text = fix_surrogates(unescape(text))
-    return regex.sub("\r\n|[\r\u2028\u2029\u0085]", "\n", text)
+    if "&" in text:
+        text = unescape(text)
+    if not text.isascii():
+        text = fix_surrogates(text)
+    for end in ("\r\n", "\r", "\u2028", "\u2029", "\u0085"):
+        text = text.replace(end, "\n")
+    return text
 
 
 @lru_cache(maxsize=64)

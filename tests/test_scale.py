@@ -123,3 +123,18 @@ def test_detection_over_arrays(spark, sf_dir):
     assert langid.Models().detect_all(["x"]) == ["und"]
     plan = docs.withColumn("x", langid.detect(F.col("text"), models)).filter("x <> 'und'")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def once(spark, df):
+    """Python functions that the plan runs."""
+    return df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+
+
+def test_twitter_cleans_and_detects_once(spark):
+    from corpusloom.functions import langid
+    from corpusloom.operators import social as S
+
+    lines = spark.createDataFrame([("a &amp; b\r\nc",), ("@x",)], "text string")
+    plan = S.preprocess_twitter(lines, lambda c: langid.detect(c, langid.Models({"en": {"abc": 0}}, {"en": {"abc": -1.0}}, {"en": -9.0})))
+    assert once(spark, plan) == 2
+    assert [tuple(r) for r in plan.collect()] == [("en", "a & b\nc")]
