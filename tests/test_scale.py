@@ -138,3 +138,17 @@ def test_twitter_cleans_and_detects_once(spark):
     plan = S.preprocess_twitter(lines, lambda c: langid.detect(c, langid.Models({"en": {"abc": 0}}, {"en": {"abc": -1.0}}, {"en": -9.0})))
     assert once(spark, plan) == 2
     assert [tuple(r) for r in plan.collect()] == [("en", "a & b\nc")]
+
+
+def test_reddit_cleans_and_detects_once(spark):
+    from corpusloom.functions import langid, murmur
+    from corpusloom.operators import social as S
+
+    models = langid.Models({"en": {"abc": 0}}, {"en": {"abc": -1.0}}, {"en": -9.0})
+    rows = spark.createDataFrame([(5, "some *marked* __text__ &gt; ~here~", "a"), (5, "x", "bad"), (5, "y", None)], "score long, body string, subreddit string")
+    denied = spark.createDataFrame([(murmur.murmur3(b"bad"),)], "hash int")
+    got = S.preprocess_reddit(rows, denied, lambda c: langid.detect(c, models))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 4  # names hashed, also for a filter on the hash; texts cleaned, languages detected
+    assert plan.count("BroadcastHashJoin") >= 1 and "LeftAnti, BuildRight" in plan
+    assert sorted(tuple(r) for r in got.collect()) == [("en", "some marked text > here"), ("en", "y")]
